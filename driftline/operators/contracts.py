@@ -113,12 +113,8 @@ def _type_fits(actual: T.DataType, declared: str) -> bool:
     return actual.simpleString() == declared
 
 
-def failure_report(df: DataFrame, contract: Contract) -> DataFrame:
-    """(stage, column, check, n_failed) for every check, passed ones with 0.
-
-    Missing columns and wrong types are read off the schema and count one failure each;
-    value checks of such columns are left out.
-    """
+def _checks(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
+    """(column, check, number of failures as an aggregate)."""
     types = {field.name: field.dataType for field in df.schema.fields}
     entries: list[tuple[str, str, Column]] = []
     for field in contract.fields:
@@ -135,13 +131,27 @@ def failure_report(df: DataFrame, contract: Contract) -> DataFrame:
             )
     if contract.non_empty:
         entries.append(("*", "not_empty", F.when(F.count("*") > 0, 0).otherwise(1)))
+    return entries
+
+
+def _counted(df: DataFrame, contract: Contract) -> DataFrame:
+    """One row: n_rows and the report as an array."""
     report = F.array(
         *[
             F.struct(F.lit(column), F.lit(check), n_failed.cast("long"))
-            for column, check, n_failed in entries
+            for column, check, n_failed in _checks(df, contract)
         ]
     ).cast(_REPORT)
-    return df.agg(F.count("*"), report.alias("report")).select(
+    return df.agg(F.count("*").alias("n_rows"), report.alias("report"))
+
+
+def failure_report(df: DataFrame, contract: Contract) -> DataFrame:
+    """(stage, column, check, n_failed) for every check, passed ones with 0.
+
+    Missing columns and wrong types are read off the schema and count one failure each;
+    value checks of such columns are left out.
+    """
+    return _counted(df, contract).select(
         F.lit(contract.stage).alias("stage"), F.inline("report")
     )
 
@@ -160,15 +170,21 @@ def failing_rows(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def validate(df: DataFrame, contract: Contract) -> DataFrame:
-    """The table itself, or one error that names the stage and all failing checks."""
-    failed = failure_report(df, contract).filter("n_failed > 0").collect()
+def validated_rows(df: DataFrame, contract: Contract) -> int:
+    """The number of rows, or one error that names the stage and all failing checks."""
+    found = _counted(df, contract).first()
+    failed = [entry for entry in found.report if entry.n_failed > 0]
     if failed:
-        total = sum(row.n_failed for row in failed)
-        detail = "; ".join(f"{row.column} {row.check}: {row.n_failed}" for row in failed)
+        total = sum(entry.n_failed for entry in failed)
+        detail = "; ".join(f"{e.column} {e.check}: {e.n_failed}" for e in failed)
         raise ContractError(
             f"contract violated at stage '{contract.stage}': {total} failing case(s): {detail}"
         )
+    return found.n_rows
+
+
+def validate(df: DataFrame, contract: Contract) -> DataFrame:
+    validated_rows(df, contract)
     return df
 
 

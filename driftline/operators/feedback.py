@@ -6,8 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.values import draw, draw_digits
+from ..functions.values import draw, draw_digits, utc_micros
 from .evaluation import summary_scores
 from .ranking import order_value, rank_cuts, with_cuts
 
@@ -60,11 +61,12 @@ def recent_predictions(
 ) -> DataFrame:
     """Per model version, the newest ``max_rows`` rows of the trailing window.
 
-    Rows with the same time are ordered by the hash of their id. The cut is an order
+    ``as_of`` has the type of ``predicted_at`` (zoned or not), so that the filter reaches
+    the scan. Rows with the same time are ordered by the hash of their id. The cut is an order
     value per version (see ranking), so no task gathers the rows; rows without a version
     never match.
     """
-    begin = F.timestamp_add("MICROSECOND", F.lit(-round(window_hours * 3_600_000_000)), as_of)
+    begin = as_of - F.make_dt_interval(secs=F.lit(window_hours * 3600.0).cast("decimal(18,6)"))
     recent = log.filter((F.col("predicted_at") >= begin) & F.col("model_version").isNotNull())
     if "predicted_date" in log.columns:
         recent = recent.filter(F.col("predicted_date") >= F.to_date(begin))
@@ -74,7 +76,9 @@ def recent_predictions(
     sizes = recent.groupBy("model_version").agg(F.count("*").alias("n"))
     if sizes.filter(F.col("n") > max_rows).isEmpty():
         return recent.select(*columns)
-    digits = newest_first_digits("predicted_at", "prediction_id")
+    zoneless = isinstance(log.schema["predicted_at"].dataType, T.TimestampNTZType)
+    micros = utc_micros("predicted_at") if zoneless else F.unix_micros("predicted_at")
+    digits = newest_first_digits(micros, "prediction_id")
     cuts = rank_cuts(recent, ["model_version"], digits, {"__oldest": F.lit(max_rows)})
     return (
         with_cuts(recent, ["model_version"], cuts)
@@ -83,14 +87,13 @@ def recent_predictions(
     )
 
 
-def newest_first_digits(time: str, key: str) -> list[Column]:
+def newest_first_digits(micros: Column, key: str) -> list[Column]:
     """Descending time as hours, seconds and microseconds, then the hashed key."""
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    second = F.expr("3600000000L")
+    hour, second = F.lit(3_600_000_000), F.lit(1_000_000)
     return [
-        -F.floor(micros / second),
-        -F.floor(F.pmod(micros, second) / 1_000_000),
-        -F.pmod(micros, F.lit(1_000_000)),
+        -F.floor(micros / hour),
+        -F.floor(F.pmod(micros, hour) / second),
+        -F.pmod(micros, second),
         *draw_digits(draw(0, key)),
     ]
 

@@ -9,11 +9,14 @@ profiles:   run_id, f1_weighted
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import stage_table
+from ..runtime import null_safe_join, small_side, stage_table
 
 # How far below the champion a challenger may score, and the tag of a first
 # promotion.
@@ -149,6 +152,9 @@ def rollback(aliases: DataFrame, versions: DataFrame, model: str, alias: str) ->
 
 # -- history --------------------------------------------------------------------------
 
+# Runs that one task replays; longer histories are cut into more ranges.
+RANGE_RUNS = 500_000
+
 _STEPS = "model string, chunk int, threshold double, last double, last_version string"
 _ENTRY = "model string, chunk int, entry double, entry_version string"
 _HISTORY = (
@@ -157,7 +163,7 @@ _HISTORY = (
 )
 
 
-def _first_accepted(scores: list[float], champion: float, tolerance: float) -> int:
+def _first_accepted(scores: Sequence[float], champion: float, tolerance: float) -> int:
     """Position of the first of ascending scores not beyond the tolerance, or their number."""
     low, high = 0, len(scores)
     while low < high:
@@ -169,59 +175,52 @@ def _first_accepted(scores: list[float], champion: float, tolerance: float) -> i
     return low
 
 
-def _chunk_steps(runs: pd.DataFrame, tolerance: float) -> pd.DataFrame:
-    """Which champion leaves a chunk of a model's history, for any champion entering it.
+def _steps(f1: list[float], versions: list[str], tolerance: float) -> list[tuple]:
+    """Which champion leaves a stretch of runs, for any champion entering it.
 
-    Only a run that beats all runs before it in the chunk can be the first one promoted,
-    and from there on the path is fixed: one row per such run, with the end of its path.
+    Only a run that beats all runs before it can be the first one promoted, and from there
+    on the path is fixed: one row per such run, with the end of its path.
     """
-    runs = runs.sort_values("run_order", kind="stable")
-    passed = runs[runs["passed"]]
-    f1, versions = passed["f1"].tolist(), passed["version"].tolist()
     last = list(range(len(f1)))
-    # runs to the right not hidden by a nearer run with at least their score, farthest first
-    ahead: list[int] = []
-    falling: list[float] = []
+    # runs to the right not hidden by a nearer run with at least their score, nearest first
+    ahead: deque[int] = deque()
+    rising: deque[float] = deque()
     for i in range(len(f1) - 1, -1, -1):
-        rising = _Reversed(falling)
         nearest = _first_accepted(rising, f1[i], tolerance)
         if nearest < len(ahead):
-            last[i] = last[ahead[len(ahead) - 1 - nearest]]
-        while falling and falling[-1] <= f1[i]:
-            falling.pop()
-            ahead.pop()
-        falling.append(f1[i])
-        ahead.append(i)
+            last[i] = last[ahead[nearest]]
+        while rising and rising[0] <= f1[i]:
+            rising.popleft()
+            ahead.popleft()
+        rising.appendleft(f1[i])
+        ahead.appendleft(i)
     rows, best = [], -float("inf")
     for i, score in enumerate(f1):
         if score > best:
             best = score
             rows.append((score, f1[last[i]], versions[last[i]]))
-    steps = pd.DataFrame(rows, columns=["threshold", "last", "last_version"])
-    steps.insert(0, "chunk", runs["chunk"].iloc[0])
-    steps.insert(0, "model", runs["model"].iloc[0])
-    return steps
-
-
-class _Reversed:
-    """A list read from its end, without copying it."""
-
-    def __init__(self, values: list[float]):
-        self.values = values
+    return rows
 
-    def __len__(self) -> int:
-        return len(self.values)
 
-    def __getitem__(self, i: int) -> float:
-        return self.values[len(self.values) - 1 - i]
+def _chunk_steps(runs: pd.DataFrame, tolerance: float) -> pd.DataFrame:
+    """The steps of the models at both ends of a range; the others lie inside of it."""
+    runs = runs.sort_values(["model", "run_order"], kind="stable")
+    chunk = runs["chunk"].iloc[0]
+    rows = []
+    for model in dict.fromkeys((runs["model"].iloc[0], runs["model"].iloc[-1])):
+        mine = runs[(runs["model"] == model) & runs["passed"]]
+        found = _steps(mine["f1"].tolist(), mine["version"].tolist(), tolerance)
+        rows += [(model, chunk, *step) for step in found or [(None, None, None)]]
+    return pd.DataFrame(rows, columns=["model", "chunk", "threshold", "last", "last_version"])
 
 
 def _entries(steps: pd.DataFrame, tolerance: float) -> pd.DataFrame:
-    """The champion entering every chunk of one model."""
+    """The champion entering every range of one model."""
     champion, version = None, None
     rows = []
     for chunk, part in steps.sort_values(["chunk", "threshold"]).groupby("chunk", sort=True):
         rows.append((steps["model"].iloc[0], chunk, champion, version))
+        part = part.dropna(subset=["threshold"])
         thresholds = part["threshold"].tolist()
         first = 0 if champion is None else _first_accepted(thresholds, champion, tolerance)
         if first < len(thresholds):
@@ -230,64 +229,71 @@ def _entries(steps: pd.DataFrame, tolerance: float) -> pd.DataFrame:
 
 
 def _judge(runs: pd.DataFrame, tolerance: float) -> pd.DataFrame:
-    """Verdict of every run of a chunk, given the champion that enters it."""
-    runs = runs.sort_values("run_order", kind="stable")
-    entry, version = runs["entry"].iloc[0], runs["entry_version"].iloc[0]
-    champion = None if pd.isna(entry) else entry
-    current = None if champion is None else version
+    """Verdict of every run of a range, given the champions that enter it."""
+    runs = runs.sort_values(["model", "run_order"], kind="stable")
     verdicts, champions = [], []
-    for passed, score, candidate in zip(runs["passed"], runs["f1"], runs["version"]):
+    model = champion = current = None
+    for name, passed, score, candidate, entry, entry_version in zip(
+        runs["model"], runs["passed"], runs["f1"], runs["version"],
+        runs["entry"], runs["entry_version"],
+    ):
+        if name != model:
+            model = name
+            champion, current = (None, None) if pd.isna(entry) else (entry, entry_version)
         champions.append(current)
         if not passed:
             verdicts.append("error_gate")
-        elif champion is None:
+            continue
+        if champion is None:
             verdicts.append("bootstrap")
         elif score - champion < tolerance:
             verdicts.append("rejected")
+            continue
         else:
             verdicts.append("accepted")
-        if verdicts[-1] in ("bootstrap", "accepted"):
-            champion, current = score, candidate
-    return pd.DataFrame(
-        {
-            "model": runs["model"],
-            "run_order": runs["run_order"],
-            "version": runs["version"],
-            "f1": runs["f1"],
-            "verdict": verdicts,
-            "champion_version": champions,
-        }
-    )
+        champion, current = score, candidate
+    judged = runs[["model", "run_order", "version", "f1"]].copy()
+    judged["verdict"] = verdicts
+    judged["champion_version"] = champions
+    return judged
 
 
-def replay_promotions(runs: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+def replay_promotions(
+    runs: DataFrame, tolerance: float = TOLERANCE, range_runs: int = RANGE_RUNS
+) -> DataFrame:
     """Promote run after run, as if each had been a candidate when it was made.
 
     runs: model, run_order, version, f1, quality_gate. A verdict depends on the one
-    before it, yet no model is replayed in one piece: the history is cut into ranges,
-    every range first tells how it maps an entering champion to a leaving one (a few rows),
-    these maps are chained per model, and then all ranges are judged side by side.
+    before it, yet no model is replayed in one piece: the runs are cut into ranges in the
+    order of model and time; every range tells how it maps a champion entering it to the
+    one leaving it (a few rows, and only for the models that cross its ends); these maps
+    are chained per model; then all ranges are judged side by side.
     """
+    known = runs.select(
+        F.col("model").cast("string").alias("model"),
+        F.col("run_order").cast("bigint").alias("run_order"),
+        F.col("version").cast("string").alias("version"),
+        F.col("f1").cast("double").alias("f1"),
+        F.coalesce(F.col("quality_gate") == "passed", F.lit(False)).alias("passed"),
+    )
+    partitions = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_ranges = max(partitions, -(-known.count() // range_runs))
+    # staged: a range shuffle run again need not cut at the same runs
     ranged = stage_table(
-        runs.select(
-            F.col("model").cast("string").alias("model"),
-            F.col("run_order").cast("bigint").alias("run_order"),
-            F.col("version").cast("string").alias("version"),
-            F.col("f1").cast("double").alias("f1"),
-            F.coalesce(F.col("quality_gate") == "passed", F.lit(False)).alias("passed"),
-        )
-        .repartitionByRange("model", "run_order")
-        .withColumn("chunk", F.spark_partition_id()),
+        known.repartitionByRange(n_ranges, "model", "run_order").withColumn(
+            "chunk", F.spark_partition_id()
+        ),
         "history",
     )
-    steps = ranged.groupBy("model", "chunk").applyInPandas(
+    steps = ranged.groupBy("chunk").applyInPandas(
         lambda chunk: _chunk_steps(chunk, tolerance), _STEPS
     )
     entries = steps.groupBy("model").applyInPandas(
         lambda chunks: _entries(chunks, tolerance), _ENTRY
     )
+    crossing = small_side(entries.filter("entry IS NOT NULL"))
     return (
-        ranged.join(entries, ["model", "chunk"], "left")
-        .groupBy("model", "chunk")
+        null_safe_join(ranged, crossing.df, ["model", "chunk"], "left")
+        .groupBy("chunk")
         .applyInPandas(lambda chunk: _judge(chunk, tolerance), _HISTORY)
     )

@@ -15,7 +15,7 @@ from ..operators.drift import (
     verdict,
 )
 from ..operators.feedback import recent_predictions
-from ..runtime import null_safe_join, small_side
+from ..runtime import SmallSide, null_safe_join, small_side
 
 def run_drift_check(
     log: DataFrame,
@@ -34,24 +34,22 @@ def run_drift_check(
     the rest is tested. The rows are read once after the window filter; everything after
     the aggregate is one row per version.
     """
-    features = sorted(row.feature for row in profiles.select("feature").distinct().collect())
+    baselines = small_side(nest_profile(profiles, ["model_version"]).drop("n_rows"))
+    wanted = small_side(versions.select("model_version").distinct())
     recent = recent_predictions(
-        log, as_of, policy.window_hours, policy.max_rows, keep=("features",)
+        null_safe_join(log, wanted.df, ["model_version"], "left_semi"),
+        as_of,
+        policy.window_hours,
+        policy.max_rows,
+        keep=("features",),
     )
-    wanted = small_side(versions.select("model_version").distinct())
+    features = profiled_features(baselines)
     batch = batch_statistics(
-        flatten_features(
-            null_safe_join(recent, wanted.df, ["model_version"], "left_semi"),
-            "features",
-            features,
-        ),
-        features,
-        ["model_version"],
+        flatten_features(recent, "features", features), features, ["model_version"]
     )
-    baselines = nest_profile(profiles, ["model_version"]).drop("n_rows")
     joined = null_safe_join(
         null_safe_join(wanted.df, batch, ["model_version"], "left"),
-        baselines,
+        baselines.df,
         ["model_version"],
         "left",
     )
@@ -60,6 +58,15 @@ def run_drift_check(
     )
 
 
+def profiled_features(baselines: SmallSide) -> list[str]:
+    """The feature names of all profiles, sorted."""
+    if baselines.is_small:
+        lists = baselines.rows.column("baseline").to_pylist()
+        return sorted({entry["feature"] for baseline in lists for entry in baseline})
+    names = baselines.df.select(F.explode("baseline.feature").alias("feature")).distinct()
+    return sorted(row.feature for row in names.collect())
+
+
 def exit_code(report: DataFrame, policy: DriftPolicy = DriftPolicy()) -> int:
     """1 if a version is on ALERT and the policy says so, else 0."""
     alerts = report.filter(F.col("status") == "ALERT")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.stats import ERFC_POLYNOMIAL, critical_z
-from ..functions.values import half_up, utc_instant, utc_micros
+from ..functions.values import half_up
 from ..operators import drift, evaluation, feedback, lineage, promotion
 from .drift_job import run_drift_check
 from .registry import half_up_sql, query
@@ -25,7 +25,7 @@ def event_log(spark, sf_dir):
     """Events as logged predictions: the event type is the model version."""
     return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("prediction_id"),
-        utc_instant("ts").alias("predicted_at"),
+        F.col("ts").alias("predicted_at"),
         F.col("event_type").alias("model_version"),
         F.to_json(F.struct(F.get_json_object("props", "$.k").cast("long").alias("k"), "value"))
         .alias("features"),
@@ -33,7 +33,7 @@ def event_log(spark, sf_dir):
 
 
 def _instant(text: str):
-    return utc_instant(F.lit(text).cast("timestamp_ntz"))
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def event_profiles(spark, sf_dir):

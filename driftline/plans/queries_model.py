@@ -9,6 +9,7 @@ from ..functions.values import half_up
 from ..operators import evaluation, features, lineage, modeling
 from ..operators.cleaning import map_month_name
 from ..operators.sampling import hashed_split, stratified_split
+from ..runtime import stage_table
 from .registry import half_up_sql, query
 from .testbed import (
     EMBEDDING_SPEC,
@@ -71,7 +72,8 @@ _MEDIANS = ("children", "adr", "lead_time", "agent")
 )
 def feat_median(spark, sf_dir):
     # a small bracket, so that the narrowing rounds run at any size
-    learned = features.medians(sound_bookings(spark, sf_dir), list(_MEDIANS), bracket_rows=500)
+    rows = stage_table(sound_bookings(spark, sf_dir).select(*_MEDIANS), "medians")
+    learned = features.medians(rows, list(_MEDIANS), bracket_rows=500)
     return spark.createDataFrame(list(learned.items()), "feature string, value double")
 
 
