@@ -11,6 +11,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows up to which a per-class / per-version / per-feature table is held by the
 # driver and broadcast. Beyond it the table stays distributed and is joined plainly.
@@ -74,12 +75,24 @@ class SmallSide:
         return self.rows is not None
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed inside: Arrow refuses a null struct of required fields."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType))
+    return kind
+
+
 def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> SmallSide:
     """Evaluate a table expected to be tiny; broadcast it only if it really is.
 
     At most ``max_rows + 1`` rows reach the driver. A larger table is staged and
     returned unhinted, so that the join falls back to Spark's own choice.
     """
+    df = df.select(
+        *[F.col(f"`{f.name}`").cast(_nullable(f.dataType)).alias(f.name) for f in df.schema.fields]
+    )
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
         return SmallSide(stage_table(df, "side"), None)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,8 +70,21 @@ def read_bookings_csv(spark: SparkSession, path: str, types: dict[str, str] = BO
     return typed(normalize_columns(read_csv_text(spark, path)), types)
 
 
+def _place(path: str) -> str:
+    """Host and path of a location, without its scheme."""
+    parts = urlparse(path)
+    return parts.netloc + unquote(parts.path).rstrip("/")
+
+
 def write_processed(df: DataFrame, path: str, format: str = "parquet") -> None:
-    """Overwrite ``path``. Spark refuses if the table is still being read from there."""
+    """Overwrite ``path``; refused while the table is still being read from there.
+
+    An overwrite clears the target first, so reading from it would lose the data.
+    """
+    target = _place(path)
+    sources = (_place(name) for name in df.inputFiles())
+    if any(source == target or source.startswith(target + "/") for source in sources):
+        raise ValueError(f"cannot overwrite {path}: the table is read from there")
     writer = df.write.mode("overwrite")
     if format == "csv":
         writer = writer.option("header", True)
