@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import draw, draw_digits, utc_micros
+from ..runtime import stage_table
 from .evaluation import summary_scores
 from .ranking import order_value, rank_cuts, with_cuts
 
@@ -47,8 +48,14 @@ def append_predictions(
 def new_predictions(
     log: DataFrame, batch: DataFrame, key: str = "prediction_id", order: str = "predicted_at"
 ) -> DataFrame:
-    """The rows of the batch to append: the first per id, without ids already logged."""
-    return first_per_key(batch, key, [order]).join(log.select(key), key, "left_anti")
+    """The rows of the batch to append: the first per id, without ids already logged.
+
+    The reduced batch is staged, so Spark knows its size: a small one is broadcast to the
+    scan of the log's ids, which then are neither sorted nor shuffled.
+    """
+    first = stage_table(first_per_key(batch, key, [order]), "batch")
+    logged = log.select(key).join(first.select(key), key, "left_semi")
+    return first.join(logged, key, "left_anti")
 
 
 def recent_predictions(
@@ -78,23 +85,25 @@ def recent_predictions(
         return recent.select(*columns)
     zoneless = isinstance(log.schema["predicted_at"].dataType, T.TimestampNTZType)
     micros = utc_micros("predicted_at") if zoneless else F.unix_micros("predicted_at")
-    digits = newest_first_digits(micros, "prediction_id")
-    cuts = rank_cuts(recent, ["model_version"], digits, {"__oldest": F.lit(max_rows)})
+    # columns of their own, so that the digits do not compute them again and again
+    timed = recent.withColumns({"__micros": micros, "__draw": draw(0, "prediction_id")})
+    digits = newest_first_digits()
+    cuts = rank_cuts(timed, ["model_version"], digits, {"__oldest": F.lit(max_rows)})
     return (
-        with_cuts(recent, ["model_version"], cuts)
+        with_cuts(timed, ["model_version"], cuts)
         .filter(order_value(digits) <= F.col("__oldest"))
         .select(*columns)
     )
 
 
-def newest_first_digits(micros: Column, key: str) -> list[Column]:
+def newest_first_digits(micros: str = "__micros", drawn: str = "__draw") -> list[Column]:
     """Descending time as hours, seconds and microseconds, then the hashed key."""
-    hour, second = F.lit(3_600_000_000), F.lit(1_000_000)
+    time, hour, second = F.col(micros), F.lit(3_600_000_000), F.lit(1_000_000)
     return [
-        -F.floor(micros / hour),
-        -F.floor(F.pmod(micros, hour) / second),
-        -F.pmod(micros, second),
-        *draw_digits(draw(0, key)),
+        -F.floor(time / hour),
+        -F.floor(F.pmod(time, hour) / second),
+        -F.pmod(time, second),
+        *draw_digits(drawn),
     ]
 
 
@@ -108,18 +117,34 @@ class LabelUpsert:
 
 
 def matched_labels(predictions: DataFrame, batch: DataFrame) -> DataFrame:
-    """The last label per id with ``n_sent`` and whether the prediction is known."""
+    """The last label per id with ``n_sent`` and whether the prediction is known.
+
+    Staged: every consumer sees the same matches, even while the log grows. The reduced
+    batch is staged first, so Spark knows its size and broadcasts a small one to the scan
+    of the log.
+    """
     row = F.struct(*[F.col(c) for c in batch.columns if c != "prediction_id"])
     last = batch.groupBy("prediction_id").agg(
         F.max_by(row, F.struct("labeled_at", row)).alias("row"), F.count("*").alias("n_sent")
     )
-    known = last.join(
-        predictions.select("prediction_id", F.lit(True).alias("known")), "prediction_id", "left"
+    sent = stage_table(
+        last.select(
+            *[
+                F.col(c) if c == "prediction_id" else F.col("row")[c].alias(c)
+                for c in batch.columns
+            ],
+            "n_sent",
+        ),
+        "labels",
+    )
+    known = predictions.select("prediction_id").join(
+        sent.select("prediction_id"), "prediction_id", "left_semi"
     )
-    return known.select(
-        *[F.col(c) if c == "prediction_id" else F.col("row")[c].alias(c) for c in batch.columns],
-        "n_sent",
-        F.coalesce("known", F.lit(False)).alias("known"),
+    return stage_table(
+        sent.join(known.withColumn("known", F.lit(True)), "prediction_id", "left").withColumn(
+            "known", F.coalesce("known", F.lit(False))
+        ),
+        "matched",
     )
 
 

@@ -129,12 +129,13 @@ def drawn_first(
 
     ``key`` must identify a row: copies of one key share a draw and stay together.
     """
-    digits = draw_digits(draw(seed, key))
-    cuts = rank_cuts(df, groups, digits, {"__last": take})
+    drawn = df.withColumn("__draw", draw(seed, key))
+    digits = draw_digits("__draw")
+    cuts = rank_cuts(drawn, groups, digits, {"__last": take})
     return (
-        with_cuts(df, groups, cuts)
+        with_cuts(drawn, groups, cuts)
         .filter(order_value(digits) <= F.col("__last"))
-        .drop("__last")
+        .drop("__last", "__draw")
     )
 
 
