@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.values import count_where
+
 
 class ContractError(Exception):
     """A table violates its contract."""
@@ -126,7 +128,7 @@ def _checks(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
         entries.append((field.name, f"type({field.type})", F.lit(0 if fits else 1)))
         if fits:
             entries.extend(
-                (field.name, check, F.count_if(failed))
+                (field.name, check, count_where(failed))
                 for check, failed in field.failures(types[field.name]).items()
             )
     if contract.non_empty:
@@ -329,7 +331,7 @@ def cast_failures(df: DataFrame, types: dict[str, str]) -> DataFrame:
         *[
             F.struct(
                 F.lit(name),
-                F.count_if(F.col(name).isNotNull() & F.col(name).try_cast(declared).isNull()),
+                count_where(F.col(name).isNotNull() & F.col(name).try_cast(declared).isNull()),
             )
             for name, declared in types.items()
         ]

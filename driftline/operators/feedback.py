@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import draw, draw_digits, utc_micros
+from ..functions.values import draw, draw_digits, utc_day, utc_micros
 from ..runtime import stage_table
 from .evaluation import summary_scores
 from .ranking import order_value, rank_cuts, with_cuts
@@ -75,15 +75,16 @@ def recent_predictions(
     """
     begin = as_of - F.make_dt_interval(secs=F.lit(window_hours * 3600.0).cast("decimal(18,6)"))
     recent = log.filter((F.col("predicted_at") >= begin) & F.col("model_version").isNotNull())
+    zoneless = isinstance(log.schema["predicted_at"].dataType, T.TimestampNTZType)
     if "predicted_date" in log.columns:
-        recent = recent.filter(F.col("predicted_date") >= F.to_date(begin))
+        first_day = F.to_date(begin) if zoneless else utc_day(begin)
+        recent = recent.filter(F.col("predicted_date") >= first_day)
     if model_version is not None:
         recent = recent.filter(F.col("model_version") == str(model_version))
     columns = ["model_version", *keep]
     sizes = recent.groupBy("model_version").agg(F.count("*").alias("n"))
     if sizes.filter(F.col("n") > max_rows).isEmpty():
         return recent.select(*columns)
-    zoneless = isinstance(log.schema["predicted_at"].dataType, T.TimestampNTZType)
     micros = utc_micros("predicted_at") if zoneless else F.unix_micros("predicted_at")
     # columns of their own, so that the digits do not compute them again and again
     timed = recent.withColumns({"__micros": micros, "__draw": draw(0, "prediction_id")})

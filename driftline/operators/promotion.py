@@ -9,9 +9,6 @@ profiles:   run_id, f1_weighted
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Sequence
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -163,15 +160,15 @@ _HISTORY = (
 )
 
 
-def _first_accepted(scores: Sequence[float], champion: float, tolerance: float) -> int:
-    """Position of the first of ascending scores not beyond the tolerance, or their number."""
-    low, high = 0, len(scores)
+def _n_accepted(falling: list[float], champion: float, tolerance: float) -> int:
+    """How many of some scores, highest first, are not beyond the tolerance."""
+    low, high = 0, len(falling)
     while low < high:
         middle = (low + high) // 2
-        if scores[middle] - champion < tolerance:
-            low = middle + 1
-        else:
+        if falling[middle] - champion < tolerance:
             high = middle
+        else:
+            low = middle + 1
     return low
 
 
@@ -182,18 +179,18 @@ def _steps(f1: list[float], versions: list[str], tolerance: float) -> list[tuple
     on the path is fixed: one row per such run, with the end of its path.
     """
     last = list(range(len(f1)))
-    # runs to the right not hidden by a nearer run with at least their score, nearest first
-    ahead: deque[int] = deque()
-    rising: deque[float] = deque()
+    # runs to the right not hidden by a nearer run with at least their score, farthest first
+    ahead: list[int] = []
+    falling: list[float] = []
     for i in range(len(f1) - 1, -1, -1):
-        nearest = _first_accepted(rising, f1[i], tolerance)
-        if nearest < len(ahead):
-            last[i] = last[ahead[nearest]]
-        while rising and rising[0] <= f1[i]:
-            rising.popleft()
-            ahead.popleft()
-        rising.appendleft(f1[i])
-        ahead.appendleft(i)
+        accepted = _n_accepted(falling, f1[i], tolerance)
+        if accepted:
+            last[i] = last[ahead[accepted - 1]]
+        while falling and falling[-1] <= f1[i]:
+            falling.pop()
+            ahead.pop()
+        falling.append(f1[i])
+        ahead.append(i)
     rows, best = [], -float("inf")
     for i, score in enumerate(f1):
         if score > best:
@@ -218,13 +215,13 @@ def _entries(steps: pd.DataFrame, tolerance: float) -> pd.DataFrame:
     """The champion entering every range of one model."""
     champion, version = None, None
     rows = []
-    for chunk, part in steps.sort_values(["chunk", "threshold"]).groupby("chunk", sort=True):
+    for chunk, part in steps.groupby("chunk", sort=True):
         rows.append((steps["model"].iloc[0], chunk, champion, version))
-        part = part.dropna(subset=["threshold"])
-        thresholds = part["threshold"].tolist()
-        first = 0 if champion is None else _first_accepted(thresholds, champion, tolerance)
-        if first < len(thresholds):
-            champion, version = part["last"].iloc[first], part["last_version"].iloc[first]
+        part = part.dropna(subset=["threshold"]).sort_values("threshold", ascending=False)
+        falling = part["threshold"].tolist()
+        n = len(falling) if champion is None else _n_accepted(falling, champion, tolerance)
+        if n:
+            champion, version = part["last"].iloc[n - 1], part["last_version"].iloc[n - 1]
     return pd.DataFrame(rows, columns=["model", "chunk", "entry", "entry_version"])
 
 

@@ -27,7 +27,7 @@ def event_log(spark, sf_dir):
         F.col("event_id").cast("string").alias("prediction_id"),
         F.col("ts").alias("predicted_at"),
         F.col("event_type").alias("model_version"),
-        F.to_json(F.struct(F.get_json_object("props", "$.k").cast("long").alias("k"), "value"))
+        F.concat(F.lit('{"value": '), F.col("value"), F.lit(", "), F.substring("props", 2, 10_000))
         .alias("features"),
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.values import half_up, utc_instant
+from ..functions.values import half_up, utc_day, utc_instant
 from ..operators.contracts import Field, ScoringField
 from ..operators.drift import DriftPolicy
 from ..runtime import scratch_path
@@ -162,9 +162,7 @@ def stream_drift(spark, sf_dir):
     path = scratch_path(spark, "stream-drift")
     jobs.stream_drift_windows(report, path, scratch_path(spark, "stream-drift-state")).awaitTermination()
     value = F.filter("features", lambda c: c["feature"] == "value")[0]["z_score"]
-    day = F.date_add(
-        F.lit("1970-01-01").cast("date"), F.floor(F.unix_seconds("window.start") / 86400).cast("int")
-    )
+    day = utc_day("window.start")
     return (
         spark.read.parquet(path)
         .filter("status <> 'SKIPPED'")

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.values import utc_day
 from ..operators.feedback import (
     LABEL_COLUMNS,
     LABEL_SCHEMA,
@@ -82,7 +83,7 @@ class PredictionLog(BatchTable):
         """Append the rows whose id is not logged by another batch yet."""
         others = self.read().filter(F.col("batch") != batch)
         fresh = new_predictions(others, df)
-        self.write(fresh.withColumn("predicted_date", F.to_date("predicted_at")), batch)
+        self.write(fresh.withColumn("predicted_date", utc_day("predicted_at")), batch)
 
 
 class LabelStore(BatchTable):

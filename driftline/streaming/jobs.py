@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.values import utc_day
 from ..operators.contracts import ScoringField, judge_scoring_rows
 from ..operators.drift import DriftPolicy, batch_statistics, nest_profile
 from ..plans.drift_job import judge_batches
@@ -60,7 +61,7 @@ def stream_prediction_log(
     """
     scored = source if score is None else score(source)
     rows = once_per_id(scored, watermark=watermark).withColumn(
-        "predicted_date", F.to_date("predicted_at")
+        "predicted_date", utc_day("predicted_at")
     )
     return (
         rows.writeStream.format("parquet")
