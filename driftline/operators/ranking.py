@@ -1,7 +1,7 @@
 """Exact rank cut points inside few, huge groups, without shuffling the rows.
 
 A window over a 5-valued class is five tasks however large the cluster is. Here the
-order of the rows is spelled as digits of bounded cardinality (16 bits of a hash, a
+order of the rows is spelled as digits of bounded cardinality (12 bits of a hash, a
 minute, a second, ...). Counting rows per (group, digit) is a map-side combined
 aggregate whose result is small; its running sum tells in which digit a wanted rank
 falls, and only the rows of that digit are looked at further. What comes back is one
@@ -139,8 +139,8 @@ def drawn_first(
     )
 
 
-def with_position(df: DataFrame, order_key: str) -> DataFrame:
-    """Adds ``position``: 0, 1, 2, ... over the whole table in key order.
+def with_position(df: DataFrame, *order: str | Column) -> DataFrame:
+    """Adds ``position``: 0, 1, 2, ... over the whole table in the given order.
 
     One range shuffle, then each range numbers its own rows and adds the sizes of the
     ranges before it. The ranges are staged, since a recomputed range shuffle need not
@@ -148,8 +148,8 @@ def with_position(df: DataFrame, order_key: str) -> DataFrame:
     """
     row_in_range = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     ranges = stage_table(
-        df.repartitionByRange(F.col(order_key))
-        .sortWithinPartitions(order_key)
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn("__range", F.spark_partition_id())
         .withColumn("__row", row_in_range),
         "positions",

@@ -92,8 +92,10 @@ def train(
     )
     trials = list(settings.trials) or modeling.draw_trials(settings.n_trials, settings.seed)
     found = modeling.search(train_rows, validation_rows, spec, label, trials, settings.seed)
+    model = modeling.refit_train_val(
+        train_rows, validation_rows, spec, label, found.best, settings.seed
+    )
     fit_rows = train_rows.unionByName(validation_rows)
-    model = modeling.fit_forest(fit_rows, spec, label, found.best, settings.seed)
 
     classes = modeling.classes_of(model)
     # the test rows are scored once; all reports read the staged result

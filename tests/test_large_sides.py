@@ -26,7 +26,9 @@ def test_splits_and_samples(spark, request):
         quota = sampling.stratified_quota_sample(df, "c", "id", 100, 10, 1)
         rare = cleaning.drop_rare_classes(df, "c", 600)
         weights = features.balanced_weights(df, "c").select("id", F.round("weight", 9))
-        return [{tuple(r) for r in x.collect()} for x in (split, quota, rare, weights)]
+        vocabulary = features.category_vocabulary(df, ["c", "id"], 600)
+        tables = (split, quota, rare, weights, vocabulary)
+        return [{tuple(r) for r in x.collect()} for x in tables]
 
     plain = results()
     request.getfixturevalue("tiny_limit")
