@@ -9,7 +9,10 @@ profiles:   run_id, f1_weighted
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -151,6 +154,11 @@ def rollback(aliases: DataFrame, versions: DataFrame, model: str, alias: str) ->
 
 # Runs that one task replays; longer histories are cut into more ranges.
 RANGE_RUNS = 500_000
+# Runs below which a range of its own is not worth a task.
+MIN_RANGE_RUNS = 1_000
+
+# The functions below run in Python workers, which need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _STEPS = "model string, chunk int, threshold double, last double, last_version string"
 _ENTRY = "model string, chunk int, entry double, entry_version string"
@@ -274,7 +282,9 @@ def replay_promotions(
         F.coalesce(F.col("quality_gate") == "passed", F.lit(False)).alias("passed"),
     )
     partitions = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_ranges = max(partitions, -(-known.count() // range_runs))
+    n_runs = known.count()
+    # as many ranges as a small history can use, and never more runs than a task replays
+    n_ranges = max(1, min(partitions, n_runs // MIN_RANGE_RUNS), -(-n_runs // range_runs))
     # staged: a range shuffle run again need not cut at the same runs
     ranged = stage_table(
         known.repartitionByRange(n_ranges, "model", "run_order").withColumn(
