@@ -18,16 +18,18 @@ from .components import components
 
 ship(__name__)
 
-#: Minima, and the low bits kept of each: planes of three longs.
-POSITIONS = 192
+#: Minima, and the low bits kept of each, in planes of longs.
+POSITIONS = 512
 LOW_BITS = 2
 LANES = POSITIONS // 64
 #: Two texts of similarity 0.8 share none of 38 bands of 5 minima with a chance of 3 in 10**7.
 BAND_ROWS = 5
-BANDS = POSITIONS // BAND_ROWS
-#: A pair is confirmed on its full sets unless its estimate is five deviations below the bound.
-MARGIN = 0.17
-BLOCK = 2048
+BANDS = 38
+#: A pair is confirmed on its full sets unless its estimate is over four deviations below the bound.
+MARGIN = 0.09
+BLOCK = 256
+#: Bucket ends of either kind that an id is confirmed against before all open pairs are.
+STARS = 2
 
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -40,8 +42,9 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def _multipliers() -> tuple[np.ndarray, np.ndarray]:
-    numbers = _mix(np.arange(1, 2 * POSITIONS + 1, dtype=np.uint64) * _FOLD)
-    return numbers[:POSITIONS] | np.uint64(1), numbers[POSITIONS:]
+    """Factors and summands of the hash functions."""
+    numbers = _mix(np.arange(1, 2 * POSITIONS + 1, dtype=np.uint64) * _FOLD).astype(np.uint32)
+    return numbers[:POSITIONS] | np.uint32(1), numbers[POSITIONS:]
 
 
 def shingle_set(text: str, width: int) -> np.ndarray:
@@ -64,12 +67,14 @@ def shingle_set(text: str, width: int) -> np.ndarray:
 def sketch(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bit planes of the minima's low bits, band hashes), both as signed longs."""
     times, plus = _multipliers()
-    minima = np.full(POSITIONS, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(shingles), BLOCK):
-        block = shingles[start : start + BLOCK, None] * times + plus
+    minima = np.full(POSITIONS, np.iinfo(np.uint32).max, np.uint32)
+    halves = (shingles >> np.uint64(32)).astype(np.uint32)
+    for start in range(0, len(halves), BLOCK):
+        block = halves[start : start + BLOCK, None] * times
+        block += plus
         np.minimum(minima, block.min(axis=0), out=minima)
     planes = [
-        np.packbits(((minima >> np.uint64(bit)) & np.uint64(1)).astype(bool), bitorder="little")
+        np.packbits(((minima >> np.uint32(bit)) & np.uint32(1)).astype(bool), bitorder="little")
         for bit in range(LOW_BITS)
     ]
     bands = np.arange(BANDS, dtype=np.uint64)
@@ -186,13 +191,21 @@ def confirmed(
 
 
 def star_pairs(shared: DataFrame, reps: DataFrame, least: float) -> DataFrame:
-    """For every representative the likeliest of its buckets' smallest and largest members."""
-    ends = shared.select("id", F.explode(F.array("low", "high")).alias("other")).filter("id <> other")
-    pairs = ends.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
-    best = W.partitionBy("a").orderBy(F.desc("estimate"), "b")
-    ranked = with_planes(pairs, reps).filter(F.col("estimate") >= least)
-    ranked = ranked.withColumn("rank", F.row_number().over(best)).filter("rank = 1")
-    return ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    """For every representative the smallest and the largest bucket members it meets most often.
+
+    The number of shared bands ranks them, so no more than 2 * STARS pairs of an id are joined.
+    """
+    per_end = [
+        shared.select("id", F.lit(end).alias("end"), F.col(end).alias("other"))
+        for end in ("low", "high")
+    ]
+    met = per_end[0].unionByName(per_end[1]).filter("id <> other")
+    met = met.groupBy("id", "end", "other").agg(F.count(F.lit(1)).alias("bands"))
+    best = W.partitionBy("id", "end").orderBy(F.desc("bands"), "other")
+    ranked = met.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= STARS)
+    pairs = ranked.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+    likely = with_planes(pairs.distinct(), reps).filter(F.col("estimate") >= least)
+    return likely.select("a", "b")
 
 
 def open_pairs(
@@ -243,7 +256,7 @@ def near_duplicates(
     """One row per document: id, n_shingles, component_id, kept.
 
     Documents of equal shingle sets are one class, its smallest id speaks for it. Classes that
-    share a band are candidates: first each is confirmed against the likeliest of its buckets'
+    share a band are candidates: first each is confirmed against the commonest of its buckets'
     ends, which joins large groups of near copies at a linear cost; then all remaining pairs of a
     bucket whose members are in different components are estimated from their packed low bits,
     and those above the bound less a margin are confirmed on the full sets. A link is
@@ -277,7 +290,7 @@ def near_duplicates(
     shared = stages.put(banded.join(ends.filter("low < high"), "bucket"), "buckets")
 
     least = percent / 100 - MARGIN
-    first = stages.put(star_pairs(shared, reps, least).distinct(), "star-pairs")
+    first = stages.put(star_pairs(shared, reps, least), "star-pairs")
     links = confirmed(stages, first, rows, width, percent)
     found = stages.put(components(stages, links), "groups")
     second = stages.put(open_pairs(shared, reps, found, first, least), "open-pairs")
