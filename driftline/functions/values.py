@@ -34,8 +34,8 @@ def as_column(column: str | Column) -> Column:
 
 
 def missing_token_to_null(column: str | Column) -> Column:
-    text = F.trim(as_column(column))
-    return F.when(~text.isin(*MISSING_TOKENS), text)
+    text = as_column(column).cast("string")
+    return F.when(~F.trim(text).isin(*MISSING_TOKENS), text)
 
 
 def to_double(column: str | Column) -> Column:

@@ -228,8 +228,8 @@ PRESENCE_ONLY = frozenset({"agent", "company"})
 
 def leak_guard(spec, banned: Iterable[str] = BANNED_INPUTS) -> None:
     """Refuse a feature spec that reads a banned column or uses an id as a quantity."""
-    leaks = set(spec.input_columns) & set(banned)
-    leaks |= PRESENCE_ONLY & {*spec.numeric, *spec.cyclical, *spec.categorical}
+    leaks = set(spec.sources()) & set(banned)
+    leaks |= PRESENCE_ONLY & set(spec.sources("number", "cycle", "category"))
     if leaks:
         raise ContractError(f"columns not allowed as model inputs: {sorted(leaks)}")
 

@@ -23,7 +23,8 @@ class DriftPolicy:
     # The defaults of the daily check.
     window_hours: float = 24
     min_predictions: int = 500
-    max_rows: int = 200_000
+    # newest rows per version at most; by default all rows of the window count
+    max_rows: int | None = None
     alpha: float = 0.05
     fail_on_alert: bool = True
 
@@ -173,20 +174,10 @@ def verdict(checks: Column, alpha: float) -> tuple[Column, Column]:
     status = (
         F.when(F.size(checks) == 0, "SKIPPED").when(n_hits > 0, "ALERT").otherwise("OK")
     )
-    # The wording of the report.
     reason = (
-        F.when(
-            F.size(checks) == 0, "no numeric feature in the batch matched the reference profile"
-        )
-        .when(
-            n_hits > 0,
-            F.concat(
-                n_hits.cast("string"),
-                F.lit(f" feature(s) shifted beyond alpha={alpha}: "),
-                F.array_join(hits, ", "),
-            ),
-        )
-        .otherwise("no feature mean shifted beyond the significance threshold")
+        F.when(F.size(checks) == 0, "profile and batch have no number in common")
+        .when(n_hits > 0, F.concat(F.lit(f"p < {alpha} for "), F.array_join(hits, ", ")))
+        .otherwise("all means agree with the profile")
     )
     return status, reason
 

@@ -62,11 +62,11 @@ def recent_predictions(
     log: DataFrame,
     as_of: Column,
     window_hours: float,
-    max_rows: int,
+    max_rows: int | None = None,
     model_version: str | None = None,
     keep: tuple[str, ...] = ("features",),
 ) -> DataFrame:
-    """Per model version, the newest ``max_rows`` rows of the trailing window.
+    """Per model version, the rows of the trailing window; with ``max_rows`` the newest of them.
 
     ``as_of`` has the type of ``predicted_at`` (zoned or not), so that the filter reaches
     the scan. Rows with the same time are ordered by the hash of their id. The cut is an order
@@ -82,6 +82,8 @@ def recent_predictions(
     if model_version is not None:
         recent = recent.filter(F.col("model_version") == str(model_version))
     columns = ["model_version", *keep]
+    if max_rows is None:
+        return recent.select(*columns)
     sizes = recent.groupBy("model_version").agg(F.count("*").alias("n"))
     if sizes.filter(F.col("n") > max_rows).isEmpty():
         return recent.select(*columns)

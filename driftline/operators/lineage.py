@@ -79,8 +79,10 @@ def check_facts(report: DataFrame, run_id: str | Column) -> DataFrame:
 
 def dataset_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     """(n_rows, hash_sum, hash_xor): equal for equal rows in any order or partitioning."""
-    texts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
-    row = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 8), 16, 10).cast("long")
+    values = [F.col(c).cast("string") for c in columns]
+    # lengths keep neighbouring texts apart, a sign without one stands for null
+    texts = [F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values]
+    row = F.conv(F.substring(F.md5(F.concat(*texts)), 1, 8), 16, 10).cast("long")
     return df.agg(
         F.count("*").alias("n_rows"),
         # 64-bit sums of 32-bit hashes wrap after 2^31 rows; decimals do not

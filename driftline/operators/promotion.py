@@ -43,8 +43,9 @@ def promotion_verdict(
 ) -> DataFrame:
     """One verdict per candidate run; scores are compared as doubles.
 
-    In this order: error_gate, bootstrap, noop, error_champion_run, error_profile,
-    rejected, accepted.
+    In this order: error_gate, error_candidate (the run has no version, or several), bootstrap,
+    noop, error_champion_run, error_profile, rejected, accepted. A score that is null or NaN is
+    missing.
     """
     champion = resolve_alias(aliases, versions).select(
         "model",
@@ -52,10 +53,15 @@ def promotion_verdict(
         F.col("version").alias("champion_version"),
         F.col("run_id").alias("champion_run_id"),
     )
-    scores = profiles.select("run_id", "f1_weighted")
+    score = F.col("f1_weighted").cast("double")
+    scores = profiles.select("run_id", F.nanvl(score, F.lit(None).cast("double")).alias("f1_weighted"))
+    # one row per run, so that a run of several versions does not become several candidates
+    registered = versions.groupBy("run_id").agg(
+        F.min("version").alias("version"), F.count_distinct("version").alias("n_versions")
+    )
     joined = (
         candidates.join(runs.select("run_id", "quality_gate"), "run_id", "left")
-        .join(versions.select("run_id", "version"), "run_id", "left")
+        .join(registered, "run_id", "left")
         .join(champion, ["model", "alias"], "left")
         .join(scores.withColumnRenamed("f1_weighted", "challenger_f1"), "run_id", "left")
         .join(
@@ -70,6 +76,7 @@ def promotion_verdict(
     passed = F.coalesce(F.col("quality_gate") == "passed", F.lit(False))
     verdict = (
         F.when(~passed, "error_gate")
+        .when(F.coalesce("n_versions", F.lit(0)) != 1, "error_candidate")
         .when(F.col("champion_version").isNull(), "bootstrap")
         .when(F.col("champion_version") == F.col("version"), "noop")
         .when(F.col("champion_run_id").isNull(), "error_champion_run")
@@ -81,7 +88,7 @@ def promotion_verdict(
         "model",
         "alias",
         "run_id",
-        "version",
+        F.when(F.col("n_versions") == 1, F.col("version")).alias("version"),
         "champion_version",
         "challenger_f1",
         "champion_f1",
@@ -103,14 +110,35 @@ def canary_tags(verdicts: DataFrame) -> DataFrame:
 def apply_promotion(
     verdicts: DataFrame, versions: DataFrame, aliases: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """(versions, aliases) after the promotions; one candidate per (model, alias)."""
+    """(versions, aliases) after the promotions.
+
+    Two promotions of one (model, alias) raise when a result is read. A version promoted under
+    several aliases stays one row and remembers the largest predecessor.
+    """
     moved = verdicts.filter(F.col("verdict").isin("bootstrap", "accepted")).select(
         "model",
         "alias",
         "version",
         F.coalesce("champion_version", F.lit(NO_PREDECESSOR)).alias("previous"),
     )
-    tags = moved.select("model", "version", "previous")
+    moved = (
+        moved.groupBy("model", "alias")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("version", "previous")).alias("move"))
+        .select(
+            "model",
+            "alias",
+            F.when(
+                F.col("n") > 1,
+                F.raise_error(
+                    F.concat(F.lit("two candidates for "), "model", F.lit("/"), "alias")
+                ).cast("string"),
+            )
+            .otherwise(F.col("move.version"))
+            .alias("version"),
+            F.col("move.previous").alias("previous"),
+        )
+    )
+    tags = moved.groupBy("model", "version").agg(F.max("previous").alias("previous"))
     tagged = versions.join(tags, ["model", "version"], "left").select(
         "model",
         "version",
@@ -213,7 +241,7 @@ def _chunk_steps(runs: pd.DataFrame, tolerance: float) -> pd.DataFrame:
     chunk = runs["chunk"].iloc[0]
     rows = []
     for model in dict.fromkeys((runs["model"].iloc[0], runs["model"].iloc[-1])):
-        mine = runs[(runs["model"] == model) & runs["passed"]]
+        mine = runs[(runs["model"] == model) & runs["passed"] & runs["f1"].notna()]
         found = _steps(mine["f1"].tolist(), mine["version"].tolist(), tolerance)
         rows += [(model, chunk, *step) for step in found or [(None, None, None)]]
     return pd.DataFrame(rows, columns=["model", "chunk", "threshold", "last", "last_version"])
@@ -249,6 +277,9 @@ def _judge(runs: pd.DataFrame, tolerance: float) -> pd.DataFrame:
         if not passed:
             verdicts.append("error_gate")
             continue
+        if pd.isna(score):
+            verdicts.append("error_profile")
+            continue
         if champion is None:
             verdicts.append("bootstrap")
         elif score - champion < tolerance:
@@ -272,7 +303,8 @@ def replay_promotions(
     before it, yet no model is replayed in one piece: the runs are cut into ranges in the
     order of model and time; every range tells how it maps a champion entering it to the
     one leaving it (a few rows, and only for the models that cross its ends); these maps
-    are chained per model; then all ranges are judged side by side.
+    are chained per model; then all ranges are judged side by side. A run whose score is
+    missing (null or NaN) is an error_profile and leaves the champion as it is.
     """
     known = runs.select(
         F.col("model").cast("string").alias("model"),

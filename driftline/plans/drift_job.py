@@ -88,15 +88,9 @@ def judge_batches(joined: DataFrame, policy: DriftPolicy) -> DataFrame:
     compared = F.when(unknown | few, nothing).otherwise(F.col("baseline"))
     checks = F.coalesce(feature_checks(compared, "batch", policy.alpha), F.array())
     status, reason = verdict(F.col("features"), policy.alpha)
-    # The wording of skipped checks.
-    no_profile = F.concat(
-        F.lit("model version "),
-        F.col("model_version"),
-        F.lit(" has no reference profile; retrain to publish one"),
-    )
+    no_profile = F.concat(F.lit("no profile is stored for version "), F.col("model_version"))
     too_few = F.concat(
-        n_rows.cast("string"),
-        F.lit(f" prediction(s) in the window, {policy.min_predictions} required"),
+        F.lit("too little traffic: "), n_rows.cast("string"), F.lit(f" of {policy.min_predictions}")
     )
     return (
         joined.withColumn("features", checks)

@@ -73,7 +73,7 @@ valid AS (SELECT market_segment FROM kept GROUP BY market_segment HAVING count(*
 @query(
     _CLEAN_SQL
     + f"""
-SELECT booking_id, market_segment, {", ".join(c for c in BOOKING_SPEC.input_columns if c != "month")},
+SELECT booking_id, market_segment, {", ".join(c for c in BOOKING_SPEC.sources() if c != "month")},
        month(strptime(arrival_date_month, '%B'))::BIGINT AS month
 FROM kept WHERE market_segment IN (SELECT market_segment FROM valid)
            AND arrival_date_year <= 2000"""
@@ -81,8 +81,8 @@ FROM kept WHERE market_segment IN (SELECT market_segment FROM valid)
 def clean_bookings(spark, sf_dir):
     clean, _ = cleaning.clean_bookings(sound_bookings(spark, sf_dir), min_class_count=10)
     recent = cleaning.training_period(clean, 2000)
-    contracts.require_inputs(recent, BOOKING_SPEC.input_columns)
-    return recent.select("booking_id", "market_segment", *BOOKING_SPEC.input_columns)
+    contracts.require_inputs(recent, BOOKING_SPEC.sources())
+    return recent.select("booking_id", "market_segment", *BOOKING_SPEC.sources())
 
 
 @query(

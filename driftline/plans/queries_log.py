@@ -27,7 +27,7 @@ def event_log(spark, sf_dir):
         F.col("event_id").cast("string").alias("prediction_id"),
         F.col("ts").alias("predicted_at"),
         F.col("event_type").alias("model_version"),
-        F.concat(F.lit('{"value": '), F.col("value"), F.lit(", "), F.substring("props", 2, 10_000))
+        F.concat(F.lit('{"value": '), F.col("value"), F.lit(", "), F.substr("props", F.lit(2)))
         .alias("features"),
     )
 
@@ -167,7 +167,7 @@ def log_window(spark, sf_dir):
 )
 def drift_ztest(spark, sf_dir):
     recent = feedback.recent_predictions(
-        event_log(spark, sf_dir), _instant(AS_OF), WINDOW_HOURS, 200_000
+        event_log(spark, sf_dir), _instant(AS_OF), WINDOW_HOURS
     )
     flat = drift.flatten_features(recent, "features", FEATURES)
     batch = drift.batch_statistics(flat, FEATURES, ["model_version"])
@@ -195,15 +195,12 @@ report AS (
 SELECT model_version,
        CASE WHEN NOT known OR n_rows < {MIN_PREDICTIONS} OR n_checks = 0 THEN 'SKIPPED'
             WHEN n_alerts > 0 THEN 'ALERT' ELSE 'OK' END AS status,
-       CASE WHEN NOT known THEN 'model version ' || model_version
-                                || ' has no reference profile; retrain to publish one'
+       CASE WHEN NOT known THEN 'no profile is stored for version ' || model_version
             WHEN n_rows < {MIN_PREDICTIONS}
-              THEN n_rows || ' prediction(s) in the window, {MIN_PREDICTIONS} required'
-            WHEN n_checks = 0
-              THEN 'no numeric feature in the batch matched the reference profile'
-            WHEN n_alerts > 0
-              THEN n_alerts || ' feature(s) shifted beyond alpha=0.05: ' || alerts
-            ELSE 'no feature mean shifted beyond the significance threshold' END AS reason,
+              THEN 'too little traffic: ' || n_rows || ' of {MIN_PREDICTIONS}'
+            WHEN n_checks = 0 THEN 'profile and batch have no number in common'
+            WHEN n_alerts > 0 THEN 'p < 0.05 for ' || alerts
+            ELSE 'all means agree with the profile' END AS reason,
        n_rows, n_checks, n_alerts FROM report"""
 
 
@@ -436,7 +433,7 @@ def _registry(spark, sf_dir):
     lost the run ids of its versions, every ninth run its profile.
     """
     runs = supplier_runs(spark, sf_dir)
-    supplier = F.substring("model", 2, 20).cast("long")
+    supplier = F.substr("model", F.lit(2)).cast("long")
     candidates = runs.select("run_id", "model", F.col("run_order").cast("string").alias("alias"))
     versions = runs.select(
         "model",
@@ -549,8 +546,10 @@ def promote_history(spark, sf_dir):
 # -- lineage --------------------------------------------------------------------------
 
 _ROW = (
-    "md5(concat_ws('|', o_orderkey::VARCHAR, o_custkey::VARCHAR, coalesce(status, '\\N'), "
-    "o_orderpriority))"
+    "md5(" + " || ".join(
+        f"coalesce(length({c}::VARCHAR) || ':' || {c}, '-')"
+        for c in ("o_orderkey", "o_custkey", "status", "o_orderpriority")
+    ) + ")"
 )
 
 

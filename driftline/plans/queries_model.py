@@ -34,7 +34,7 @@ def _cycle_sql() -> str:
     parts = []
     for column, (value, period) in _ANGLES.items():
         angle = f"{value}::DOUBLE * (2.0 * pi()) / {period}.0"
-        for name, function in zip(features.cyclical_names(column), ("sin", "cos")):
+        for name, function in zip(features.InputRule(column, "cycle").outputs, ("sin", "cos")):
             parts.append(f"{half_up_sql(f'{function}({angle})', 6)} AS {name}")
     return ", ".join(parts)
 
@@ -45,7 +45,7 @@ def feat_cyclical(spark, sf_dir):
         "month", month_number("arrival_date_month")
     )
     periods = {column: period for column, (_, period) in _ANGLES.items()}
-    names = [name for column in periods for name in features.cyclical_names(column)]
+    names = [name for column in periods for name in features.InputRule(column, "cycle").outputs]
     derived = features.cyclical(rows, periods)
     return derived.select("booking_id", *[half_up(name, 6).alias(name) for name in names])
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.encoding import MONTH_NAMES
-from ..operators.features import FeatureSpec
+from ..operators.features import ModelInputs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,7 +141,7 @@ sound_bookings AS (
 
 # Model inputs taken from the embedding table: its vector entries as columns.
 EMBEDDING_DIMS = 64
-EMBEDDING_SPEC = FeatureSpec(numeric=tuple(f"e{i}" for i in range(EMBEDDING_DIMS)))
+EMBEDDING_SPEC = ModelInputs.of(number=tuple(f"e{i}" for i in range(EMBEDDING_DIMS)))
 
 
 def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators import evaluation, modeling
 from ..operators.cleaning import training_period
 from ..operators.contracts import leak_guard, require_inputs, validate_processed
 from ..operators.drift import reference_profile
-from ..operators.features import BOOKING_SPEC, FeatureSpec
+from ..operators.features import BOOKING_SPEC, MEASURED, ModelInputs
 from ..operators.lineage import run_facts
 from ..operators.sampling import stratified_split
 from ..runtime import stage_table
@@ -64,7 +64,7 @@ def train(
     df: DataFrame,
     key: str,
     run_id: str,
-    spec: FeatureSpec = BOOKING_SPEC,
+    spec: ModelInputs = BOOKING_SPEC,
     settings: TrainSettings = TrainSettings(),
     tags: dict[str, str] | None = None,
 ) -> TrainedRun:
@@ -78,8 +78,8 @@ def train(
     rows = validate_processed(df)
     if settings.max_year:
         rows = validate_processed(training_period(rows, settings.max_year, settings.year_col))
-    require_inputs(rows, [*spec.input_columns, label])
-    wanted = [key, label, *spec.input_columns]
+    require_inputs(rows, [*spec.sources(), label])
+    wanted = [key, label, *spec.sources()]
     wanted += [c for c in (settings.year_col,) if c in rows.columns and c not in wanted]
     split = stage_table(
         stratified_split(
@@ -149,7 +149,7 @@ def train(
         found.best,
         metrics,
         gate,
-        reference_profile(fit_rows, spec.monitored_columns),
+        reference_profile(fit_rows, spec.sources(*MEASURED)),
         evaluation.classification_report(counts),
         evaluation.confusion_matrix(scored, "true", "predicted", classes),
         auc,

@@ -16,6 +16,11 @@ from pyspark.sql import types as T
 # Rows up to which a per-class / per-version / per-feature table is held by the
 # driver and broadcast. Beyond it the table stays distributed and is joined plainly.
 SMALL_SIDE_ROWS = 20_000
+# And up to which size of its Arrow form, since rows may be wide.
+SMALL_SIDE_BYTES = 16 << 20
+
+# Temporary folders of local sessions, by application.
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def local_session(app: str = "driftline", cpus: str | int = "*", **conf: str) -> SparkSession:
@@ -37,14 +42,20 @@ def local_session(app: str = "driftline", cpus: str | int = "*", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only if unset."""
+    """The cluster's shared folder: spark.checkpoint.dir.
+
+    Where it is unset, a temporary folder serves a local master, whose executors are this
+    process; on a cluster they would not see it, so that is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="driftline-"))
-    return context.getCheckpointDir()
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="driftline-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -87,14 +98,14 @@ def _nullable(kind: T.DataType) -> T.DataType:
 def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> SmallSide:
     """Evaluate a table expected to be tiny; broadcast it only if it really is.
 
-    At most ``max_rows + 1`` rows reach the driver. A larger table is staged and
-    returned unhinted, so that the join falls back to Spark's own choice.
+    At most ``max_rows + 1`` rows reach the driver. A table of more rows or bytes is staged
+    and returned unhinted, so that the join falls back to Spark's own choice.
     """
     df = df.select(
         *[F.col(f"`{f.name}`").cast(_nullable(f.dataType)).alias(f.name) for f in df.schema.fields]
     )
     rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    if rows.num_rows > max_rows or rows.nbytes > SMALL_SIDE_BYTES:
         return SmallSide(stage_table(df, "side"), None)
     local = df.sparkSession.createDataFrame(rows, df.schema)
     return SmallSide(F.broadcast(local), rows)

@@ -46,7 +46,8 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """Every column as text, missing-value tokens as null. No inference pass over the data."""
-    text = spark.read.option("header", True).option("multiLine", False).csv(path)
+    # quotes are doubled inside quoted fields, which may hold line breaks; files are read by name
+    text = spark.read.options(header=True, multiLine=True, escape='"', enforceSchema=False).csv(path)
     return text.select(
         *[missing_token_to_null(F.col(f"`{name}`")).alias(name) for name in text.columns]
     )

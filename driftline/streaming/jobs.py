@@ -173,9 +173,17 @@ _COUNTERS = (
 
 
 def sink_counters(query: StreamingQuery) -> DataFrame:
-    """Rows in, late, repeated and held in state per micro-batch still in the progress log."""
+    """Rows in, late, repeated and held in state per micro-batch of the query.
+
+    Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` batches. A longer
+    stream raises instead of giving totals of its end; set that number as high as is needed.
+    """
     rows = []
-    for progress in query.recentProgress:
+    kept = query.recentProgress
+    limit = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(kept) >= limit:
+        raise ValueError(f"only the last {limit} batches are known; raise numRecentProgressUpdates")
+    for progress in kept:
         operators = progress["stateOperators"]
         metrics = [op["customMetrics"] for op in operators if op["customMetrics"]]
         rows.append(

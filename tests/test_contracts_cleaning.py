@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.operators import cleaning, contracts
-from driftline.operators.features import BOOKING_SPEC, FeatureSpec
+from driftline.operators.features import BOOKING_SPEC, ModelInputs
 from driftline.sources import bookings
 from rows import RAW, raw_bookings, schema
 
@@ -128,11 +128,11 @@ def test_nan_is_missing(spark):
 
 def test_required_inputs_and_leaks(spark):
     with pytest.raises(contracts.ContractError, match="month"):
-        contracts.require_inputs(raw_bookings(spark, {}), BOOKING_SPEC.input_columns)
+        contracts.require_inputs(raw_bookings(spark, {}), BOOKING_SPEC.sources())
     contracts.leak_guard(BOOKING_SPEC)
     for spec in (
-        FeatureSpec(numeric=("agent",)),
-        FeatureSpec(numeric=(), categorical=("distribution_channel",)),
+        ModelInputs.of(number=("agent",)),
+        ModelInputs.of(category=("distribution_channel",)),
     ):
         with pytest.raises(contracts.ContractError):
             contracts.leak_guard(spec)

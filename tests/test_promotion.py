@@ -87,10 +87,11 @@ def test_noop_gate_and_missing_profile(spark):
     )
     r.versions = spark.createDataFrame(r.versions.collect(), VERSIONS)
     # the candidate keeps its run, the champion lost it
+    assert r.promote("1").verdict == "error_champion_run"
     r.versions = r.versions.unionByName(
         spark.createDataFrame([("m", "9", "run1", None)], VERSIONS)
     )
-    assert r.promote("1").verdict == "error_champion_run"
+    assert r.promote("1").verdict == "error_candidate"
 
 
 def test_rollback(spark):
