@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, slices
 
 ship(__name__)
 
@@ -189,7 +189,7 @@ def format_chats(
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, position = object(), 0
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             for name, record in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
                 if name != current:
@@ -227,7 +227,7 @@ def chat_digests(chats: DataFrame, id_col: str = "conv_id") -> DataFrame:
         names = ["id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
         kinds = [None, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
         current, state = object(), None
-        for batch in batches:
+        for batch in slices(batches):
             kinds[0] = batch.schema.field(0).type
             done = []
             columns = [batch.column(i).to_pylist() for i in (0, 2, 3, 4)]

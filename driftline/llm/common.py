@@ -5,9 +5,10 @@ from __future__ import annotations
 import string
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,17 @@ def worker_state(key: str, make: Callable[[], Any]) -> Any:
     return getattr(holder, key)
 
 
+#: Rows that a worker turns into Python objects at a time; an Arrow batch holds thousands.
+SLICE_ROWS = 256
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in short pieces, so that a worker holds few texts at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 class Stages:
     """Tables written once in the shared folder, so that lost executors lose nothing of them.
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Stages, ship, whole_text
+from .common import Stages, ship, slices, whole_text
 from .url_filter import host_and_path
 
 ship(__name__)
@@ -213,7 +213,7 @@ def neighbours(stages: Stages, pages: DataFrame) -> DataFrame:
 
 def deleted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, content, deleted): positions of open lines that the nearest page shares."""
-    for batch in batches:
+    for batch in slices(batches):
         found = []
         for row in batch.to_pylist():
             side = nearer(row["path"], *(row[k] and row[k]["path"] for k in ("before", "after")))
@@ -236,7 +236,7 @@ def deleted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, path, content, lines, open) of pages: hashes of all lines, positions of open ones."""
-    for batch in batches:
+    for batch in slices(batches):
         lines, open_lines = [], []
         for page in batch.column(3).to_pylist():
             found = page_lines(page)
@@ -303,7 +303,7 @@ def extract_text(
     gone = stages.put(gone, "deleted-lines")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for source, deleted in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 lines = page_lines(source)

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bits import bloom, has_bits, slots, words_for
-from .common import Stages, ship, whole_text
+from .common import Stages, ship, slices, whole_text
 from .components import components
 
 ship(__name__)
@@ -94,7 +94,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing = np.empty(0, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             digests, sizes, planes, bands = [], [], [], []
             for text in batch.column(1).to_pylist():
                 shingles = shingle_set(text, width)
@@ -167,7 +167,7 @@ def confirmed(
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             linked = []
             for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 one = shingle_set(left, width)

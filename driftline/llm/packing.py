@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Stages, ship, whole_text, worker_state
+from .common import Stages, ship, slices, whole_text, worker_state
 
 ship(__name__)
 
@@ -90,7 +90,7 @@ def tokenized_pieces(
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = worker_state(f"ids:{tokenizer}:{ranks}", lambda: TokenBytes(tokenizer, ranks))
         part, places = TaskContext.get().partitionId(), Counter()
-        for batch in batches:
+        for batch in slices(batches):
             found = defaultdict(list)
             row = []
             for position, text in enumerate(batch.column(1).to_pylist()):
@@ -304,7 +304,7 @@ def pack(
     keys = (table[:, 0] << 44) + table[:, 1]
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             length = batch.column("length").to_numpy(zero_copy_only=False)
             rank = batch.column("rank").to_numpy(zero_copy_only=False)
             at = table[np.searchsorted(keys, (length << 44) + rank, "right") - 1]

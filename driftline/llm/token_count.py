@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stages, ship, whole_text, worker_state
+from .common import Stages, ship, slices, whole_text, worker_state
 
 ship(__name__)
 
@@ -55,7 +55,7 @@ def can_split(model: str) -> bool:
 def frequent_words(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The commonest words of a task's texts, from a count of bounded size."""
     seen: Counter[str] = Counter()
-    for batch in texts:
+    for batch in slices(texts):
         for text in batch.column(0).to_pylist():
             for line in split_lines(text) or []:
                 seen.update(line[1:])
@@ -167,7 +167,7 @@ def count_tokens(
         words = worker_state(f"words:{model}", lambda: WordLengths(model, {}))
         words.table = lengths.value
         count = words.count if apart else (lambda text: len(words.pieces.encode(text)))
-        for batch in batches:
+        for batch in slices(batches):
             found = pa.array(map(count, batch.column(1).to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), found], names=["id", "n_bytes", "n_tokens"]

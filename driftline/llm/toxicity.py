@@ -14,7 +14,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stages, ship, whole_text
+from .common import Stages, ship, slices, whole_text
 
 ship(__name__)
 
@@ -64,7 +64,7 @@ def terms_of(word: str) -> list[str]:
 def counted_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, toxic documents, clean documents) of a task's labelled rows."""
     seen = {0: Counter(), 1: Counter()}
-    for batch in batches:
+    for batch in slices(batches):
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = set(bare_words(text)) - {""}
             seen[toxic].update({term for word in words for term in terms_of(word)})
@@ -161,7 +161,7 @@ def with_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(lexicon)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [features.of(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["id", "features"]
