@@ -19,14 +19,14 @@ from .components import components
 ship(__name__)
 
 #: Minima, and the low bits kept of each, in planes of longs.
-POSITIONS = 512
+POSITIONS = 1024
 LOW_BITS = 2
 LANES = POSITIONS // 64
 #: Two texts of similarity 0.8 share none of 38 bands of 5 minima with a chance of 3 in 10**7.
 BAND_ROWS = 5
 BANDS = 38
 #: A pair is confirmed on its full sets unless its estimate is over four deviations below the bound.
-MARGIN = 0.09
+MARGIN = 0.064
 BLOCK = 256
 #: Bucket ends of either kind that an id is confirmed against before all open pairs are.
 STARS = 2
@@ -137,6 +137,15 @@ def estimate(left: str, right: str) -> Column:
     return (1 - differing / POSITIONS - chance) / (1 - chance)
 
 
+def first_shared(left: str, right: str) -> Column:
+    """The first band that two documents share.
+
+    A lambda also keeps the join's condition out of whole-stage code, where the estimate makes a
+    method too long to be compiled; outside it is split into short ones.
+    """
+    return F.get(F.filter(left, lambda band: F.array_contains(right, band)), F.lit(0))
+
+
 def with_planes(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs (a, b) with the estimate of their similarity."""
     planes = reps.select("id", "planes")
@@ -214,7 +223,8 @@ def open_pairs(
     """All pairs of a bucket that lie in different components, estimated high, not yet tested.
 
     Buckets of one component have none. In the others the commonest component's members meet
-    only the rest, so a large group of copies costs its size times the strangers beside it.
+    only the rest, so a large group of copies costs its size times the strangers beside it. A pair is
+    made in the first of its shared buckets only.
     """
     placed = shared.select("bucket", "id").join(found, "id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "id"))
@@ -225,13 +235,14 @@ def open_pairs(
         .filter("parts > 1")
         .select("bucket", F.col("top.component").alias("top"))
     )
-    members = placed.join(mixed, "bucket").join(reps.select("id", "planes"), "id")
+    members = placed.join(mixed, "bucket").join(reps.select("id", "planes", "bands"), "id")
     side = lambda name: members.select(
         "bucket",
         F.col("id").alias(name),
         F.col("component").alias(f"part_{name}"),
         (F.col("component") == F.col("top")).alias(f"top_{name}"),
         F.col("planes").alias(f"planes_{name}"),
+        F.col("bands").alias(f"bands_{name}"),
     )
     left, right = side("a").filter(~F.col("top_a")), side("b").withColumnRenamed("bucket", "there")
     pairs = left.join(
@@ -239,7 +250,8 @@ def open_pairs(
         (F.col("bucket") == F.col("there"))
         & (F.col("part_a") != F.col("part_b"))
         & (F.col("top_b") | (F.col("a") < F.col("b")))
-        & (estimate("planes_a", "planes_b") >= least),
+        & (estimate("planes_a", "planes_b") >= least)
+        & (F.col("bucket") == first_shared("bands_a", "bands_b")),
     )
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return pairs.join(tested, ["a", "b"], "left_anti")
