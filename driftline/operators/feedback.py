@@ -21,18 +21,18 @@ LABEL_SCHEMA = (
 
 def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first row of every key; a hot key shrinks before it is shuffled."""
-    return _one_per_key(df, key, order, F.min_by)
+    return _one_per_key(df, key, order, F.min)
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The last row of every key; a hot key shrinks before it is shuffled."""
-    return _one_per_key(df, key, order, F.max_by)
+    return _one_per_key(df, key, order, F.max)
 
 
 def _one_per_key(df: DataFrame, key: str, order: list[str], pick) -> DataFrame:
-    row = F.struct(*[F.col(c) for c in df.columns if c != key])
-    # the row itself breaks ties, so the result does not depend on task order
-    picked = df.groupBy(key).agg(pick(row, F.struct(*order, row)).alias("row"))
+    # the other columns break ties, so the result does not depend on task order
+    rest = [c for c in df.columns if c not in (key, *order)]
+    picked = df.groupBy(key).agg(pick(F.struct(*order, *rest)).alias("row"))
     return picked.select(
         *[F.col(key) if c == key else F.col("row")[c].alias(c) for c in df.columns]
     )
@@ -126,9 +126,9 @@ def matched_labels(predictions: DataFrame, batch: DataFrame) -> DataFrame:
     batch is staged first, so Spark knows its size and broadcasts a small one to the scan
     of the log.
     """
-    row = F.struct(*[F.col(c) for c in batch.columns if c != "prediction_id"])
+    rest = [c for c in batch.columns if c not in ("prediction_id", "labeled_at")]
     last = batch.groupBy("prediction_id").agg(
-        F.max_by(row, F.struct("labeled_at", row)).alias("row"), F.count("*").alias("n_sent")
+        F.max(F.struct("labeled_at", *rest)).alias("row"), F.count("*").alias("n_sent")
     )
     sent = stage_table(
         last.select(

@@ -43,7 +43,7 @@ def rank_cuts(
 
     ``takes`` maps a cut name to an expression over ``group_size``; ranks beyond the
     group are clipped to its size and a cut of 0 rows or less gives null. The digits
-    together must order the rows of a group totally.
+    together must order the rows of a group totally: rows that tie across a cut raise.
     """
     names = _digit_names(len(digits))
     keyed = df.select(*groups, *[d.alias(name) for d, name in zip(digits, names)])
@@ -75,11 +75,13 @@ def rank_cuts(
         edges = _boundary(histogram, [*groups, "cut", *names[:known]])
 
     order = Window.partitionBy(*groups, "cut").orderBy(*names[known:])
+    edge = F.struct(*names)
+    tied = F.raise_error(F.lit("the key repeats: rows on both sides of a cut share it"))
     found = (
         _inside(keyed, edges, [*groups, *names[:known]])
-        .withColumn("rank", F.row_number().over(order))
+        .withColumns({"rank": F.row_number().over(order), "next": F.lead(edge).over(order)})
         .filter("rank = left")
-        .select(*groups, "cut", F.struct(*names).alias("edge"))
+        .select(*groups, "cut", F.when(F.col("next") == edge, tied).otherwise(edge).alias("edge"))
     )
     per_group = found.groupBy(*groups).agg(
         *[F.max(F.when(F.col("cut") == cut, F.col("edge"))).alias(cut) for cut in takes]
@@ -127,7 +129,7 @@ def drawn_first(
 ) -> DataFrame:
     """The first ``take`` rows of each group in the order of their draw.
 
-    ``key`` must identify a row: copies of one key share a draw and stay together.
+    ``key`` must identify a row: copies of one key share a draw, and raise if a cut meets them.
     """
     drawn = df.withColumn("__draw", draw(seed, key))
     digits = draw_digits("__draw")

@@ -9,9 +9,12 @@ from ..functions.values import half_up
 from ..operators import evaluation, features, lineage, modeling
 from ..operators.cleaning import map_month_name
 from ..operators.sampling import hashed_split, stratified_split
-from ..runtime import stage_table
+from ..runtime import scratch_path, stage_table
+from ..sources.stores import PredictionLog
 from .registry import half_up_sql, query
+from .scoring_job import ServedModel, score_and_log
 from .testbed import (
+    EMBEDDING_DIMS,
     EMBEDDING_SPEC,
     SOUND_BOOKINGS_SQL,
     embedding_rows,
@@ -139,19 +142,19 @@ def feat_weights(spark, sf_dir):
 
 # -- scoring expressions --------------------------------------------------------------
 
-_CLASSES = [f"c{i}" for i in range(10)]
+_CLASSES = [f"c{i}" for i in range(EMBEDDING_DIMS)]
 
 
 @query(
     f"""WITH powers AS (
-  SELECT vec_id, [exp(x::DOUBLE * 20) FOR x IN embedding[1:10]] AS p FROM embeddings),
+  SELECT vec_id, [exp(x::DOUBLE * 20) FOR x IN embedding] AS p FROM embeddings),
 probs AS (SELECT vec_id, [x / list_sum(p) FOR x IN p] AS p FROM powers)
 SELECT vec_id, ({_CLASSES})[list_position(p, list_max(p))] AS predicted_segment,
        {half_up_sql("list_max(p)", 6)} AS confidence,
        {half_up_sql("list_max(p) - list_reverse_sort(p)[2]", 6)} AS margin FROM probs"""
 )
 def confidence_margin(spark, sf_dir):
-    powers = F.transform(F.slice("embedding", 1, 10), lambda x: F.exp(x.cast("double") * 20))
+    powers = F.transform("embedding", lambda x: F.exp(x.cast("double") * 20))
     total = F.aggregate("powers", F.lit(0.0), lambda a, x: a + x)
     probs = (
         table(spark, sf_dir, "embeddings")
@@ -327,7 +330,7 @@ def majority_baseline(spark, sf_dir):
     return evaluation.confusion_counts(predicted, "market_segment", "predicted_segment")
 
 
-# -- model jobs (rows only) -----------------------------------------------------------
+# -- model jobs -----------------------------------------------------------
 
 _SMALL = modeling.ForestParams(n_estimators=10, max_depth=6)
 
@@ -375,10 +378,20 @@ def _modelled_bookings(spark, sf_dir):
     return map_month_name(sound_bookings(spark, sf_dir))
 
 
-@query()
+@query(
+    f"""WITH {SOUND_BOOKINGS_SQL},
+years AS (SELECT arrival_date_year AS y, count(*) AS n FROM sound_bookings GROUP BY 1),
+holdout AS (SELECT max(y) AS y FROM years)
+SELECT string_agg(y::VARCHAR, ',' ORDER BY y) FILTER (WHERE y < (SELECT y FROM holdout)) AS train_years,
+       (SELECT y FROM holdout)::INT AS holdout_year,
+       (sum(n) FILTER (WHERE y < (SELECT y FROM holdout)))::BIGINT AS n_train,
+       (sum(n) FILTER (WHERE y = (SELECT y FROM holdout)))::BIGINT AS n_test,
+       true AS scores_bounded
+FROM years"""
+)
 def model_backtest(spark, sf_dir):
     """Fitted on all order years but the last, scored on the last."""
-    return modeling.temporal_backtest(
+    result = modeling.temporal_backtest(
         _modelled_bookings(spark, sf_dir),
         features.BOOKING_SPEC,
         "market_segment",
@@ -386,21 +399,75 @@ def model_backtest(spark, sf_dir):
         modeling.ForestParams(n_estimators=5, max_depth=5),
         SEED,
     )
+    return result.select(
+        F.array_join("train_years", ",").alias("train_years"),
+        "holdout_year",
+        "n_train",
+        "n_test",
+        (F.col("f1_weighted").between(0, 1) & F.col("f1_macro").between(0, 1)).alias(
+            "scores_bounded"
+        ),
+    )
 
 
-@query()
-def model_score(spark, sf_dir):
-    """Every booking with label, confidence and margin of a fitted forest."""
-    rows = _modelled_bookings(spark, sf_dir)
+def _booking_model(rows):
     split = hashed_split(rows, "booking_id", SEED)
-    model = modeling.fit_forest(
+    return modeling.fit_forest(
         split.filter("split = 'train'").drop("split"),
         features.BOOKING_SPEC,
         "market_segment",
         modeling.ForestParams(n_estimators=5, max_depth=5),
         SEED,
     )
+
+
+@query(
+    f"""WITH {SOUND_BOOKINGS_SQL}
+SELECT sha256(booking_id::VARCHAR || ':1') AS prediction_id, booking_id, '1' AS model_version,
+       true AS class_known, true AS confidence_bounded, true AS margin_bounded
+FROM sound_bookings"""
+)
+def model_score(spark, sf_dir):
+    """Every booking with its id, and whether label, confidence and margin are in bounds."""
+    rows = _modelled_bookings(spark, sf_dir)
+    model = _booking_model(rows)
     scored = modeling.score_batch(model, rows, "booking_id", "1")
+    least = 1.0 / len(modeling.classes_of(model)) - 1e-9
     return scored.select(
-        "prediction_id", "booking_id", "model_version", "predicted_segment", "confidence", "margin"
+        "prediction_id",
+        "booking_id",
+        "model_version",
+        F.col("predicted_segment").isin(modeling.classes_of(model)).alias("class_known"),
+        F.col("confidence").between(least, 1 + 1e-9).alias("confidence_bounded"),
+        (F.col("margin").between(0, 1 + 1e-9) & (F.col("margin") <= F.col("confidence"))).alias(
+            "margin_bounded"
+        ),
+    )
+
+
+@query(
+    f"""WITH {SOUND_BOOKINGS_SQL}
+SELECT sha256(booking_id::VARCHAR || ':1') AS prediction_id, 'segments' AS model_name,
+       'staging' AS model_alias, '1' AS model_version, lead_time, adr, true AS scored
+FROM sound_bookings WHERE adr >= 0 AND children IS NOT NULL"""
+)
+def score_log(spark, sf_dir):
+    """Bookings checked, scored and appended, one batch sent twice; read back from the log."""
+    rows = _modelled_bookings(spark, sf_dir)
+    served = ServedModel(_booking_model(rows), "segments", "staging", "1")
+    log = PredictionLog(spark, scratch_path(spark, "score-log"))
+    for batch in ("first", "again"):
+        score_and_log(
+            served, rows, "booking_id", F.lit("2024-02-01").cast("timestamp"), log, batch
+        )
+    return log.read().select(
+        "prediction_id",
+        "model_name",
+        "model_alias",
+        "model_version",
+        F.get_json_object("features", "$.lead_time").cast("long").alias("lead_time"),
+        F.get_json_object("features", "$.adr").cast("double").alias("adr"),
+        (F.col("predicted_segment").isNotNull() & F.col("confidence").between(0, 1 + 1e-9)).alias(
+            "scored"
+        ),
     )

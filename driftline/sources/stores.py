@@ -7,6 +7,7 @@ that is being rewritten. What is current is decided when reading.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def _folder_text(value: str) -> str:
+    """A value as it stands in the name of a partition folder."""
+    return re.sub(r"""[\x00-\x1f"#%'*/:=?\\\x7f{}\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value)
+
+
 @dataclass(frozen=True)
 class BatchTable:
     """Parquet folders ``batch=<name>`` below one path."""
@@ -61,15 +67,17 @@ class BatchTable:
         return self.spark.read.schema(schema).parquet(self.path)
 
     def write(self, df: DataFrame, batch: str) -> None:
-        """Replace the folder of this batch only."""
+        """Replace the folder of this batch as a whole, also by nothing or by other days.
+
+        ``df`` must not read the batch that it replaces.
+        """
         columns = [c.strip().split()[0] for c in self.schema.split(",")]
         extra = [self.partition] if self.partition else []
-        (
-            df.select(*columns, *extra, F.lit(batch).alias("batch"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*extra, "batch")
-            .parquet(self.path)
+        writer = df.select(*columns, *extra).write.mode("overwrite")
+        if extra:
+            writer = writer.partitionBy(*extra)
+        writer.option("partitionOverwriteMode", "static").parquet(
+            f"{self.path}/batch={_folder_text(batch)}"
         )
 
 

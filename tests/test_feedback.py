@@ -110,3 +110,21 @@ def test_fingerprint_ignores_order_only(spark):
     assert one == lineage.dataset_fingerprint(df.orderBy(F.desc("x")).repartition(3), ["x", "s"]).first()
     changed = df.withColumn("s", F.coalesce("s", F.lit("")))
     assert one != lineage.dataset_fingerprint(changed, ["x", "s"]).first()
+
+
+def test_a_batch_written_again_replaces_its_whole_folder(spark, tmp_path):
+    pending = stores.BatchTable(spark, str(tmp_path / "pending"), feedback.LABEL_SCHEMA)
+    pending.write(labels(spark, ("a", "x", 1)), "b:1")
+    pending.write(labels(spark, ("b", "y", 1)), "b:2")
+    pending.write(labels(spark), "b:1")
+    assert [(r.prediction_id, r.batch) for r in pending.read().collect()] == [("b", "b:2")]
+
+
+def test_a_batch_written_again_leaves_no_rows_of_other_days(spark, tmp_path):
+    log = stores.PredictionLog(spark, str(tmp_path / "log"))
+    log.append(predictions(spark, "a", "b"), "1")
+    later = predictions(spark, "a").withColumn("predicted_at", F.expr("predicted_at + interval 3 days"))
+    log.append(later, "1")
+    assert [(r.prediction_id, str(r.predicted_date)) for r in log.read().collect()] == [
+        ("a", "2024-01-04")
+    ]

@@ -118,3 +118,9 @@ def test_replay_slice_and_shuffle(spark):
     assert sampling.slice_for_replay(df, year=2017, months=[5, 6]).count() == 1
     order = [r.id for r in sampling.seeded_shuffle(spark.range(50), "id", 1).collect()]
     assert order == sorted(range(50), key=lambda i: drawn(1, i))
+
+
+def test_a_repeated_key_raises_where_the_cut_meets_it(spark):
+    rows = spark.range(20).selectExpr("1 AS id", "id AS x")
+    with pytest.raises(Exception, match="the key repeats"):
+        sampling.seeded_sample(rows, "id", 3, 7).collect()
