@@ -18,7 +18,7 @@ from .components import components
 
 ship(__name__)
 
-#: Minima, and the low bits kept of each, in planes of longs.
+#: Minima, and the bits kept of each, in planes of longs.
 POSITIONS = 1024
 LOW_BITS = 2
 LANES = POSITIONS // 64
@@ -65,7 +65,11 @@ def shingle_set(text: str, width: int) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bit planes of the minima's low bits, band hashes), both as signed longs."""
+    """(bit planes of the hashed minima's low bits, band hashes), both as signed longs.
+
+    A minimum's own low bits follow from those of its element, as the factors are odd: in small
+    sets they differ together. A hash of minimum and position makes them independent.
+    """
     times, plus = _multipliers()
     minima = np.full(POSITIONS, np.iinfo(np.uint32).max, np.uint32)
     halves = (shingles >> np.uint64(32)).astype(np.uint32)
@@ -73,8 +77,9 @@ def sketch(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         block = halves[start : start + BLOCK, None] * times
         block += plus
         np.minimum(minima, block.min(axis=0), out=minima)
+    mixed = _mix(minima + np.arange(1, POSITIONS + 1, dtype=np.uint64) * _FOLD)
     planes = [
-        np.packbits(((minima >> np.uint32(bit)) & np.uint32(1)).astype(bool), bitorder="little")
+        np.packbits(((mixed >> np.uint64(bit)) & np.uint64(1)).astype(bool), bitorder="little")
         for bit in range(LOW_BITS)
     ]
     bands = np.arange(BANDS, dtype=np.uint64)

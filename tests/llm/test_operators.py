@@ -119,6 +119,23 @@ def test_estimates_are_freed_of_chance(spark):
         assert abs(found - shared / (2000 - shared)) < near_dedup.MARGIN
 
 
+@pytest.mark.parametrize("common, left, right", [(4, 1, 0), (8, 2, 0), (8, 1, 1)])
+def test_short_texts_at_the_bound_are_linked(spark, common, left, right):
+    rows, pairs = [], 300
+    for i in range(pairs):  # words of the common text, then words that only one text has
+        words = [f"p{i}w{k}" for k in range(common + 4)]
+        for j, extra in enumerate((left, right)):
+            text = words + [f"p{i}t{j}x{k}" for k in range(extra)]
+            rows.append((2 * i + j, " ".join(text)))
+    texts = dict(rows)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    components = {r.doc_id: r.component_id for r in found.collect()}
+    for i in range(pairs):
+        one, two = (_shingles(texts[2 * i + j], 5) for j in (0, 1))
+        assert 100 * len(one & two) == 80 * len(one | two)
+        assert components[2 * i + 1] == 2 * i
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, j) for j in range(101, 160)] + [(7, 7)]
     df = spark.createDataFrame(links, "a long, b long")
