@@ -332,7 +332,8 @@ def majority_baseline(spark, sf_dir):
 
 # -- model jobs -----------------------------------------------------------
 
-_SMALL = modeling.ForestParams(n_estimators=10, max_depth=6)
+#: Trials of a search, the defaults among them.
+N_TRIALS = 8
 
 
 @query()
@@ -340,7 +341,7 @@ def model_fit(spark, sf_dir):
     """Test scores of a forest on the embedding classes."""
     split = stratified_split(embedding_rows(spark, sf_dir), "class", "vec_id", SEED)
     model = modeling.fit_forest(
-        split.filter("split = 'train'"), EMBEDDING_SPEC, "class", _SMALL, SEED
+        split.filter("split = 'train'"), EMBEDDING_SPEC, "class", seed=SEED
     )
     predicted = model.transform(split.filter("split = 'test'"))
     counts = evaluation.confusion_counts(predicted, "class", "predicted_segment")
@@ -351,16 +352,12 @@ def model_fit(spark, sf_dir):
 def model_search(spark, sf_dir):
     """Trials with the defaults first, scored on the validation rows."""
     split = stratified_split(embedding_rows(spark, sf_dir), "class", "vec_id", SEED)
-    trials = [
-        modeling.ForestParams(n_estimators=5, max_depth=4),
-        modeling.ForestParams(n_estimators=10, max_depth=5, min_samples_leaf=2),
-    ]
     result = modeling.search(
         split.filter("split = 'train'"),
         split.filter("split = 'validation'"),
         EMBEDDING_SPEC,
         "class",
-        trials,
+        modeling.draw_trials(N_TRIALS, SEED),
         SEED,
     )
     rows = [
@@ -396,8 +393,7 @@ def model_backtest(spark, sf_dir):
         features.BOOKING_SPEC,
         "market_segment",
         "arrival_date_year",
-        modeling.ForestParams(n_estimators=5, max_depth=5),
-        SEED,
+        seed=SEED,
     )
     return result.select(
         F.array_join("train_years", ",").alias("train_years"),
@@ -416,8 +412,7 @@ def _booking_model(rows):
         split.filter("split = 'train'").drop("split"),
         features.BOOKING_SPEC,
         "market_segment",
-        modeling.ForestParams(n_estimators=5, max_depth=5),
-        SEED,
+        seed=SEED,
     )
 
 
