@@ -21,12 +21,12 @@ def event_stream(spark, sf_dir):
     return jobs.file_stream(spark, sf_dir, schema, pathGlobFilter="events.parquet")
 
 
-def _twice_sent(spark, sf_dir):
+def _twice_sent(events):
     """Every third event arrives a second time."""
     copies = F.when(F.col("event_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
-    return event_stream(spark, sf_dir).select(
+    return events.select(
         F.col("event_id").cast("string").alias("prediction_id"),
         utc_instant("ts").alias("predicted_at"),
         F.col("event_type").alias("model_version"),
@@ -42,18 +42,22 @@ _LOG_FIELDS = (
 )
 
 
-def _logged(spark, sf_dir):
+def _scored(events):
     accepted = jobs.accepted_rows(
-        _twice_sent(spark, sf_dir), _LOG_FIELDS, ("prediction_id", "predicted_at", "model_version")
+        _twice_sent(events), _LOG_FIELDS, ("prediction_id", "predicted_at", "model_version")
+    )
+    return accepted.withColumn(
+        "predicted_segment", F.when(F.col("value") > 10, "high").otherwise("low")
     )
+
+
+def _logged(spark, sf_dir):
     path = scratch_path(spark, "stream-log")
     stream = jobs.stream_prediction_log(
-        accepted,
+        event_stream(spark, sf_dir),
         path,
         scratch_path(spark, "stream-log-state"),
-        score=lambda df: df.withColumn(
-            "predicted_segment", F.when(F.col("value") > 10, "high").otherwise("low")
-        ),
+        score=_scored,
         watermark="2 hours",
     )
     stream.awaitTermination()

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from ..functions.values import utc_day
 from ..operators.feedback import (
@@ -36,7 +37,7 @@ PERFORMANCE_SCHEMA = "model_version string, f1_weighted double, accuracy double,
 RUN_SCHEMA = "run_id string, kind string, key string, value string"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def folder_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
@@ -56,7 +57,7 @@ class BatchTable:
     partition: str | None = None
 
     def exists(self) -> bool:
-        return _exists(self.spark, self.path)
+        return folder_exists(self.spark, self.path)
 
     def read(self) -> DataFrame:
         """All batches, with their ``batch`` name (and the partition column, if any)."""
@@ -71,7 +72,7 @@ class BatchTable:
 
         ``df`` must not read the batch that it replaces.
         """
-        columns = [c.strip().split()[0] for c in self.schema.split(",")]
+        columns = [f"`{name}`" for name in DataType.fromDDL(self.schema).fieldNames()]
         extra = [self.partition] if self.partition else []
         writer = df.select(*columns, *extra).write.mode("overwrite")
         if extra:

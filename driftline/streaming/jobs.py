@@ -12,8 +12,21 @@ from ..functions.values import utc_day
 from ..operators.contracts import ScoringField, judge_scoring_rows
 from ..operators.drift import DriftPolicy, batch_statistics, nest_profile
 from ..plans.drift_job import judge_batches
-from ..runtime import small_side
-from ..sources.stores import LABEL_SCHEMA, BatchTable, LabelStore, PredictionLog
+from ..runtime import null_safe_join, small_side
+from ..sources.stores import (
+    LABEL_SCHEMA,
+    BatchTable,
+    LabelStore,
+    PredictionLog,
+    folder_exists,
+)
+
+
+#: Below a log; readers of the log skip folders of this kind.
+COUNTERS_FOLDER = "_counters"
+_COUNTERS = (
+    "batch_id bigint, rows_in bigint, rows_late bigint, rows_duplicate bigint, state_rows bigint"
+)
 
 
 def file_stream(
@@ -38,12 +51,41 @@ def accepted_rows(
     return judge_scoring_rows(source, fields, keep).filter(F.size("reasons") == 0).drop("reasons")
 
 
-def once_per_id(
-    source: DataFrame, time: str = "predicted_at", key: str = "prediction_id",
-    watermark: str = "1 hour",
-) -> DataFrame:
-    """One row per id among rows that arrive within the watermark; state stays bounded."""
-    return source.withWatermark(time, watermark).dropDuplicatesWithinWatermark([key])
+def log_batch(
+    table: BatchTable,
+    counters: BatchTable,
+    df: DataFrame,
+    batch_id: int,
+    score: Callable[[DataFrame], DataFrame] | None,
+    watermark: str,
+) -> None:
+    """Log the rows of one micro-batch whose id no other batch has, and count them.
+
+    The log is written before the counters; running a batch again replaces both folders.
+    """
+    name = batch_name(batch_id)
+    earlier = table.read().filter(F.col("batch") < name)
+    rows = df.persist()
+    scored = (rows if score is None else score(rows)).persist()
+    try:
+        once = scored.dropDuplicates(["prediction_id"])
+        fresh = null_safe_join(once, earlier.select("prediction_id"), ["prediction_id"], "left_anti")
+        table.write(fresh.withColumn("predicted_date", utc_day("predicted_at")), name)
+        logged = table.read().filter(F.col("batch") <= name)
+        written = logged.agg(
+            F.count("*").alias("all"), F.count_if(F.col("batch") == name).alias("new")
+        ).first()
+        mark = earlier.agg(
+            (F.max("predicted_at") - F.expr(f"INTERVAL {watermark}")).alias("mark")
+        )
+        judged = scored.join(F.broadcast(mark), how="cross").agg(
+            F.count("*").alias("n"), F.count_if(F.col("predicted_at") < F.col("mark")).alias("late")
+        ).first()
+        row = (batch_id, rows.count(), judged.late, judged.n - written.new, written.all)
+        counters.write(table.spark.createDataFrame([row], _COUNTERS), name)
+    finally:
+        scored.unpersist()
+        rows.unpersist()
 
 
 def stream_prediction_log(
@@ -54,24 +96,37 @@ def stream_prediction_log(
     watermark: str = "1 hour",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Score a stream and append it, once per id, to day folders of Parquet files.
+    """Score a stream and append it, once per id, to batch and day folders of Parquet files.
 
-    The file sink commits every micro-batch as a whole, so a restart neither loses nor
-    repeats rows. Repeats that arrive later than the watermark need ``stream_log_to_store``.
+    Every micro-batch replaces the folder of its own name, so a restart neither loses nor
+    repeats rows. Ids of any age are compared, at the price of a scan of the logged ids per
+    micro-batch; no row is refused for its time. Rows older than the newest logged before
+    their batch less the watermark are logged and counted as late, below ``_counters``. A path
+    belongs to one checkpoint.
     """
-    scored = source if score is None else score(source)
-    rows = once_per_id(scored, watermark=watermark).withColumn(
-        "predicted_date", utc_day("predicted_at")
+    spark = source.sparkSession
+    shape = source if score is None else score(source)
+    if "batch" in shape.columns:
+        raise ValueError("batch names the folders of the log; rename this column")
+    if folder_exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} holds a log of the file sink, whose readers skip other folders")
+    schema = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}"
+        for f in shape.schema.fields
+        if f.name != "predicted_date"
     )
-    return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("predicted_date")
-        .option("path", path)
+    table = BatchTable(spark, path, schema, "predicted_date")
+    counters = BatchTable(spark, f"{path}/{COUNTERS_FOLDER}", _COUNTERS)
+    query = (
+        source.writeStream.foreachBatch(
+            lambda df, batch_id: log_batch(table, counters, df, batch_id, score, watermark)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+    query.counters = counters
+    return query
 
 
 def batch_name(batch_id: int) -> str:
@@ -167,17 +222,16 @@ def stream_drift_windows(
     )
 
 
-_COUNTERS = (
-    "batch_id bigint, rows_in bigint, rows_late bigint, rows_duplicate bigint, state_rows bigint"
-)
-
-
 def sink_counters(query: StreamingQuery) -> DataFrame:
-    """Rows in, late, repeated and held in state per micro-batch of the query.
+    """Rows in, late, repeated and held (in the log or as state) per micro-batch of the query.
 
-    Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` batches. A longer
-    stream raises instead of giving totals of its end; set that number as high as is needed.
+    ``stream_prediction_log`` writes a row per micro-batch beside the log, so its batches of
+    earlier runs and of streams of any length are all there. Of other queries Spark keeps the
+    last ``spark.sql.streaming.numRecentProgressUpdates`` batches: a longer one raises.
     """
+    counters = getattr(query, "counters", None)
+    if counters is not None:
+        return counters.read().drop("batch")
     rows = []
     kept = query.recentProgress
     limit = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))

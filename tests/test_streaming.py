@@ -44,6 +44,24 @@ def test_log_survives_restarts_and_drops_repeats(spark, tmp_path):
     assert got == ["a", "b", "c"]
 
 
+def test_log_keeps_first_time_ids_that_arrive_late(spark, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def send(*rows):
+        df = log_rows(spark, *rows).withColumn("price", F.expr("struct(CAST(adr AS decimal(9,2)) AS eur)"))
+        df.write.mode("append").parquet(source)
+        return run_stream(lambda: jobs.stream_prediction_log(
+            jobs.file_stream(spark, source, df.schema), sink, state, watermark="1 hour"))
+
+    send(("a", 48, 1))
+    send(("b", 49, 1))
+    query = send(("late", 1, 1), ("late", 1, 1), ("b", 2, 1), (None, 50, 1), (None, 50, 1))
+    got = [r.prediction_id for r in spark.read.parquet(sink).collect()]
+    assert sorted(map(str, got)) == ["None", "a", "b", "late"]
+    counters = {r.batch_id: tuple(r)[1:] for r in jobs.sink_counters(query).collect()}
+    assert counters == {0: (1, 0, 0, 1), 1: (1, 0, 0, 2), 2: (5, 3, 3, 4)}
+
+
 def test_log_store_ignores_ids_of_any_age(spark, tmp_path):
     source, state = str(tmp_path / "in"), str(tmp_path / "state")
     log = stores.PredictionLog(spark, str(tmp_path / "log"))
