@@ -62,6 +62,24 @@ def test_log_keeps_first_time_ids_that_arrive_late(spark, tmp_path):
     assert counters == {0: (1, 0, 0, 1), 1: (1, 0, 0, 2), 2: (5, 3, 3, 4)}
 
 
+def test_counters_outlast_the_progress_that_spark_keeps(spark, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for i in range(5):
+        rows = log_rows(spark, (f"p{i}", i, 1), (f"p{i}", i, 1)).coalesce(1)
+        rows.write.mode("append").parquet(source)
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 2)
+    try:
+        query = run_stream(lambda: jobs.stream_prediction_log(
+            jobs.file_stream(spark, source, rows.schema, files_per_trigger=1), sink, state))
+        totals = jobs.sink_counters(query).agg(
+            F.count("*"), F.sum("rows_in"), F.sum("rows_duplicate")).first()
+    finally:
+        spark.conf.set(name, before)
+    assert tuple(totals) == (5, 10, 5)
+
+
 def test_log_store_ignores_ids_of_any_age(spark, tmp_path):
     source, state = str(tmp_path / "in"), str(tmp_path / "state")
     log = stores.PredictionLog(spark, str(tmp_path / "log"))
