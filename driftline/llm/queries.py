@@ -1,4 +1,4 @@
-"""The ten registered queries and the SQL that checks those that SQL can express."""
+"""The registered queries and the SQL that checks those that SQL can express."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from .common import WORD, ascii_lower_sql, table
 from .exact_dedup import exact_groups
 from .extraction import extract_text
 from .near_dedup import near_duplicates
+from .ngram_join import ngram_join
 from .packing import pack
 from .token_count import count_tokens
 from .topk import top_k
@@ -173,14 +174,15 @@ def op7_toxicity(spark, sf_dir):
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query(
-    f"""WITH RECURSIVE w AS (
+def _linked_sql(width: int, columns: str) -> str:
+    """Components of texts whose shingle sets have a similarity of 0.8, all pairs compared."""
+    return f"""WITH RECURSIVE w AS (
          SELECT doc_id, regexp_extract_all({ascii_lower_sql("coalesce(text, '')")}, '{WORD}') AS w
          FROM documents),
        s AS (
-         SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN
+         SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {width} THEN
                 [array_to_string(w, ' ')] ELSE
-                list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS s
+                list_transform(range(1, len(w) - {width - 2}), lambda i: array_to_string(w[i:i+{width - 1}], ' ')) END) AS s
          FROM w),
        x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS m, any_value(b.n) AS n
@@ -189,9 +191,11 @@ def op7_toxicity(spark, sf_dir):
        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
        r AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
        k AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1)
-       SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+       SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id{columns}
        FROM s JOIN k USING (doc_id)"""
-)
+
+
+@query(_linked_sql(4, ", doc_id = component_id AS kept"))
 def op8_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -231,3 +235,8 @@ def op9_urls(spark, sf_dir):
 )
 def op10_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query(_linked_sql(5, ""))
+def op11_ngram_join(spark, sf_dir):
+    return ngram_join(table(spark, sf_dir, "documents"), width=5, percent=80)
