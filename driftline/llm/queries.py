@@ -11,9 +11,11 @@ from .chat_format import CLOSE, CONTROL, OPEN, chat_digests, format_chats
 from .common import WORD, ascii_lower_sql, table
 from .exact_dedup import exact_groups
 from .extraction import extract_text
+from .merkle import merkle_manifest
 from .near_dedup import near_duplicates
 from .ngram_join import ngram_join
 from .packing import pack
+from .repair import repair_conversations
 from .token_count import count_tokens
 from .topk import top_k
 from .toxicity import score_toxicity
@@ -240,3 +242,176 @@ def op10_exact_dedup(spark, sf_dir):
 @query(_linked_sql(5, ""))
 def op11_ngram_join(spark, sf_dir):
     return ngram_join(table(spark, sf_dir, "documents"), width=5, percent=80)
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit."""
+    bits = "list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), xor(acc, x))"
+    letters = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce({letters}, lambda acc, x: {bits}, 4294967295::BIGINT), 4294967295)"
+
+
+#: Levels of the trees in the SQL below: up to 2 ** 24 leaves a language, 2 ** 8 languages.
+LEAF_LEVELS, HEAD_LEVELS = 24, 8
+
+
+def _tree_sql(name: str, start: str, levels: int) -> str:
+    """All nodes (tree, k, i, d, n) of the trees whose leaves are (tree, i, d); n a level's nodes."""
+    parts = [f"{name}0 AS (SELECT tree, i, d, count(*) OVER (PARTITION BY tree) AS n FROM {start})"]
+    for k in range(levels):
+        parts.append(
+            f"""{name}{k + 1} AS (
+              SELECT tree, i, CASE WHEN m = 1 THEN d ELSE sha256(joined) END AS d,
+                     count(*) OVER (PARTITION BY tree) AS n
+              FROM (SELECT tree, i // 2 AS i, any_value(d) AS d, any_value(n) AS m,
+                           string_agg(d, '' ORDER BY i) AS joined FROM {name}{k} GROUP BY 1, 2))"""
+        )
+    union = " UNION ALL ".join(f"SELECT tree, {k} AS k, i, d, n FROM {name}{k}" for k in range(levels + 1))
+    return ",\n".join([*parts, f"{name} AS MATERIALIZED ({union})"])
+
+
+def _fold_sql(name: str, start: str, tree: str) -> str:
+    """Climbs (row, tree, i, d, proof) of ``start`` to the roots of ``tree``."""
+    return f"""{name}(row, tree, i, k, d, proof) AS (
+         SELECT row, tree, i, 0, d, proof FROM {start}
+         UNION ALL
+         SELECT f.row, f.tree, f.i // 2, f.k + 1,
+                sha256(CASE WHEN s.d IS NULL THEN f.d WHEN f.i % 2 = 0 THEN f.d || s.d
+                            ELSE s.d || f.d END), f.proof || coalesce(s.d, '')
+         FROM {name} f JOIN {tree} o ON o.tree = f.tree AND o.k = f.k AND o.i = f.i AND o.n > 1
+         LEFT JOIN {tree} s ON s.tree = f.tree AND s.k = f.k AND s.i = xor(f.i, 1))"""
+
+
+def _manifest_sql() -> str:
+    def leaf(n_chars: str) -> str:
+        fields = ["doc_id", "source", "lang", n_chars, "text"]
+        texts = [f"coalesce(strlen(({f})::VARCHAR) || ':' || ({f})::VARCHAR, '-')" for f in fields]
+        return f"sha256({' || '.join(texts)})"
+
+    ends = lambda name: f"SELECT * FROM {name} QUALIFY k = max(k) OVER (PARTITION BY row)"
+    return f"""WITH RECURSIVE leaves AS (
+         SELECT row_number() OVER () AS row, doc_id, coalesce('=' || lang, '-') AS tree, {leaf("n_chars")} AS d,
+                CASE WHEN {_crc32_sql("doc_id::VARCHAR")} % 7 = 0 THEN {leaf("n_chars + 1")}
+                     ELSE {leaf("n_chars")} END AS other FROM documents),
+       numbered AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS i
+                    FROM leaves),
+       {_tree_sql("n", "numbered", LEAF_LEVELS)},
+       subroots AS (SELECT tree AS lang, d, row_number() OVER (ORDER BY tree) - 1 AS i
+                    FROM n{LEAF_LEVELS}),
+       heads AS (SELECT '' AS tree, i, d FROM subroots),
+       {_tree_sql("h", "heads", HEAD_LEVELS)},
+       sound AS (SELECT row, tree, i, d, '' AS proof FROM numbered),
+       bad AS (SELECT row, tree, i, other AS d, '' AS proof FROM numbered),
+       {_fold_sql("f", "sound", "n")},
+       {_fold_sql("g", "bad", "n")},
+       f_end AS ({ends("f")}), g_end AS ({ends("g")}),
+       f_up AS (SELECT row, '' AS tree, s.i, f.d, proof FROM f_end f JOIN subroots s ON f.tree = s.lang),
+       g_up AS (SELECT row, '' AS tree, s.i, g.d, proof FROM g_end g JOIN subroots s ON g.tree = s.lang),
+       {_fold_sql("ff", "f_up", "h")},
+       {_fold_sql("gg", "g_up", "h")},
+       ff_end AS ({ends("ff")}), gg_end AS ({ends("gg")})
+       SELECT n.doc_id, n.d AS leaf, s.d AS subroot, r.d AS root, sha256(f.proof) AS proof_sha256,
+              g.d AS folded_root, g.d = r.d AS verified
+       FROM numbered n JOIN subroots s ON n.tree = s.lang JOIN ff_end f ON f.row = n.row
+       JOIN gg_end g ON g.row = n.row CROSS JOIN h{HEAD_LEVELS} r"""
+
+
+@query(_manifest_sql())
+def op12_manifest(spark, sf_dir):
+    found = merkle_manifest(
+        table(spark, sf_dir, "documents"),
+        tampered={"n_chars": F.col("n_chars") + 1},
+        where=F.crc32(F.col("doc_id").cast("string")) % 7 == 0,
+    )
+    return found.drop("proof")
+
+
+def _repair_sql() -> str:
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    never = 1_000_000_000
+
+    def after(state: str, cost: str, edit: str, item: str = "") -> str:
+        item = f" || chr(10) || {item}" if item else ""
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'r': {state}.r{item}}}"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    to_user = ", ".join(after(s, "5", "I", "'user:'") for s in ("s0", "s1", "s3"))
+    closed = lambda source: f"""SELECT *, {least("s3", after("y2", "5", "I", "'assistant:'"))} AS y3
+                 FROM (SELECT *, {least("s2", to_user)} AS y2 FROM {source})"""
+    cut = "CASE WHEN fault = 1 THEN 5 ELSE 0 END"
+    keep = lambda state, letter: after(
+        state, f"CASE WHEN fault > 1 OR l <> '{letter}' THEN {never} ELSE {cut} END", "K", "role || ':' || text"
+    )
+    rerole = lambda state, role: after(
+        state, f"1 + CASE WHEN fault > 1 THEN {never} ELSE {cut} END", "R", f"'{role}:' || text"
+    )
+    stepped = f"""SELECT conv, i + 1 AS i, {after("s0", "2", "D")} AS s0,
+           {least(after("s1", "2", "D"), keep("s0", "s"))} AS s1,
+           {least(after("y2", "2", "D"), *[f(s, x) for s in ("s0", "s1", "y3") for f, x in ((keep, "u"), (rerole, "user"))])} AS s2,
+           {least(after("y3", "2", "D"), keep("y2", "a"), rerole("y2", "assistant"))} AS s3"""
+    joined = "(SELECT d.*, f.role, f.text, f.fault, f.l FROM dp d JOIN f ON f.conv = d.conv AND f.i = d.i + 1)"
+    none = f"{{'c': {never}, 'a': '', 'r': ''}}"
+    return f"""WITH RECURSIVE ids AS (
+         SELECT conv_id, dense_rank() OVER (ORDER BY conv_id) AS conv FROM (SELECT DISTINCT conv_id FROM conversations)),
+       base AS (
+         SELECT conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                {_crc32_sql("coalesce(c.conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS k
+         FROM conversations c JOIN ids ON ids.conv_id IS NOT DISTINCT FROM c.conv_id),
+       damaged AS (
+         SELECT conv, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+                CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                unnest(CASE k WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM base),
+       numbered AS (
+         SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv, role, text
+                  ORDER BY turn NULLS FIRST, copy) AS seen, rtrim(text, {blanks}) AS t,
+                substr(role, 1, 1) AS l, lag(substr(role, 1, 1)) OVER w AS b
+         FROM damaged WINDOW w AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text), copy)),
+       f AS (SELECT *, CASE WHEN t = '' THEN 2 WHEN seen > 1 THEN 3
+                            WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS fault FROM numbered),
+       dp(conv, i, s0, s1, s2, s3) AS (
+         SELECT conv, 0::BIGINT, {{'c': 0, 'a': '', 'r': ''}}, {none}, {none}, {none} FROM ids
+         UNION ALL {stepped} FROM ({closed(joined)})),
+       last AS (SELECT * FROM dp QUALIFY i = max(i) OVER (PARTITION BY conv)),
+       best AS (SELECT conv, {least("s0", "y3")} AS e FROM ({closed("last")})),
+       facts AS (
+         SELECT conv, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+                count(*) FILTER (WHERE fault = 2) AS blank, count(*) FILTER (WHERE fault = 3) AS duplicate,
+                count(*) FILTER (WHERE fault = 1) AS truncated,
+                count(*) FILTER (WHERE b IS NOT NULL AND b || l NOT IN ('su', 'ua', 'au')) AS illegal
+         FROM f GROUP BY conv)
+       SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
+              coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+              coalesce(illegal, 0) AS illegal, e.c::BIGINT AS cost, e.a AS audit,
+              sha256(substr(e.r, 2)) AS repaired_sha256
+       FROM ids JOIN best USING (conv) LEFT JOIN facts USING (conv)"""
+
+
+def damaged(rows):
+    """Rows (conv_id, turn, role, text) as the query of op13 damages them."""
+    key = F.concat(
+        F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")),
+        F.lit(":"),
+        F.coalesce(F.col("turn").cast("string"), F.lit(" ")),
+    )
+    kind = F.crc32(key) % 20
+    text = F.coalesce("text", F.lit(" "))
+    hurt = rows.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, "")
+        .when(kind == 2, F.regexp_replace(text, "[.!?]", ""))
+        .otherwise(text)
+        .alias("text"),
+        F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("copies"),
+    ).filter("copies > 0")
+    repeated = hurt.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+    return repeated.drop("copies", "copy")
+
+
+@query(_repair_sql())
+def op13_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return repair_conversations(damaged(rows), rows)
