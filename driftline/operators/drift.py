@@ -126,6 +126,68 @@ def batch_statistics(df: DataFrame, features: list[str], keys: list[str | Column
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows"), entries.alias("batch"))
 
 
+# -- mergeable moments ----------------------------------------------------------------
+
+MOMENTS = "array<struct<feature:string,n:bigint,mean:double,spread:double>>"
+
+
+def moments(df: DataFrame, features: list[str], keys: list[str | Column]) -> DataFrame:
+    """(keys, n_rows, moments): count, mean and sum of squared deviations of all features."""
+    entries = []
+    for f in features:
+        value = to_double(F.col(f"`{f}`"))
+        entries.append(
+            F.struct(F.lit(f), F.count(value), F.avg(value), F.var_pop(value) * F.count(value))
+        )
+    entries = F.array(*entries).cast(MOMENTS)
+    return df.groupBy(*keys).agg(F.count("*").alias("n_rows"), entries.alias("moments"))
+
+
+def merge_moments(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """The moments of several groups of rows as those of all their rows.
+
+    Sums of squared deviations are carried to the common mean, so nothing cancels as it would
+    between plain sums of squares.
+    """
+    cells = parts.select(*keys, F.inline("moments")).filter("n > 0")
+    common = cells.groupBy(*keys, "feature").agg(
+        (F.sum(F.col("mean") * F.col("n")) / F.sum("n")).alias("common")
+    )
+    away = F.col("mean") - F.col("common")
+    total = null_safe_join(cells, common, [*keys, "feature"], "inner").groupBy(*keys, "feature").agg(
+        F.sum("n").alias("n"),
+        F.first("common").alias("mean"),
+        F.sum(F.col("spread") + F.col("n") * away * away).alias("spread"),
+    )
+    nested = total.groupBy(*keys).agg(
+        F.sort_array(
+            F.collect_list(F.struct("feature", "n", "mean", "spread"))
+        ).alias("moments")
+    )
+    rows = parts.groupBy(*keys).agg(F.sum("n_rows").alias("n_rows"))
+    joined = null_safe_join(rows, nested, keys, "left")
+    return joined.select(*keys, "n_rows", F.coalesce("moments", F.array().cast(MOMENTS)).alias("moments"))
+
+
+def moments_batch(merged: DataFrame) -> DataFrame:
+    """Moments as the ``batch`` that feature checks compare."""
+    batch = F.transform("moments", lambda m: F.struct(m["feature"], m["n"], m["mean"])).cast(BATCH)
+    return merged.withColumn("batch", batch).drop("moments")
+
+
+def moments_profile(merged: DataFrame, keys: list[str]) -> DataFrame:
+    """Moments as a reference profile in long form."""
+    std = F.sqrt(F.col("spread") / F.col("n"))
+    return merged.select(*keys, "n_rows", F.inline("moments")).filter("n > 0").select(
+        *keys,
+        "feature",
+        "mean",
+        F.when(std == 0, F.lit(ZERO_STD)).otherwise(std).alias("std"),
+        ((F.col("n_rows") - F.col("n")) / F.col("n_rows")).alias("missing_rate"),
+        "n_rows",
+    )
+
+
 def feature_checks(baseline: str | Column, batch: str | Column, alpha: float) -> Column:
     """Array of checks in baseline order; features with fewer than two values are skipped."""
     stats = F.map_from_entries(

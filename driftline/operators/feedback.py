@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import draw, draw_digits, utc_day, utc_micros
-from ..runtime import stage_table
+from ..runtime import null_safe_join, stage_table
 from .evaluation import summary_scores
 from .ranking import order_value, rank_cuts, with_cuts
 
@@ -38,6 +39,15 @@ def _one_per_key(df: DataFrame, key: str, order: list[str], pick) -> DataFrame:
     )
 
 
+#: A log, or what gives the rows of it that may hold one of some staged ids.
+Log = DataFrame | Callable[[DataFrame], DataFrame]
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def _holding(log: Log, ids: DataFrame) -> DataFrame:
+    return log if isinstance(log, DataFrame) else log(ids)
+
+
 def append_predictions(
     log: DataFrame, batch: DataFrame, key: str = "prediction_id", order: str = "predicted_at"
 ) -> DataFrame:
@@ -46,16 +56,21 @@ def append_predictions(
 
 
 def new_predictions(
-    log: DataFrame, batch: DataFrame, key: str = "prediction_id", order: str = "predicted_at"
+    log: Log,
+    batch: DataFrame,
+    key: str = "prediction_id",
+    order: str = "predicted_at",
+    stage: Stage = stage_table,
 ) -> DataFrame:
     """The rows of the batch to append: the first per id, without ids already logged.
 
     The reduced batch is staged, so Spark knows its size: a small one is broadcast to the
-    scan of the log's ids, which then are neither sorted nor shuffled.
+    scan of the log's ids, which then are neither sorted nor shuffled. A null id is an id.
     """
-    first = stage_table(first_per_key(batch, key, [order]), "batch")
-    logged = log.select(key).join(first.select(key), key, "left_semi")
-    return first.join(logged, key, "left_anti")
+    first = stage(first_per_key(batch, key, [order]), "batch")
+    held = _holding(log, first.select(key)).select(key)
+    logged = null_safe_join(held, first.select(key), [key], "left_semi")
+    return null_safe_join(first, logged, [key], "left_anti")
 
 
 def recent_predictions(
@@ -119,7 +134,7 @@ class LabelUpsert:
     counts: DataFrame
 
 
-def matched_labels(predictions: DataFrame, batch: DataFrame) -> DataFrame:
+def matched_labels(predictions: Log, batch: DataFrame, stage: Stage = stage_table) -> DataFrame:
     """The last label per id with ``n_sent`` and whether the prediction is known.
 
     Staged: every consumer sees the same matches, even while the log grows. The reduced
@@ -130,7 +145,7 @@ def matched_labels(predictions: DataFrame, batch: DataFrame) -> DataFrame:
     last = batch.groupBy("prediction_id").agg(
         F.max(F.struct("labeled_at", *rest)).alias("row"), F.count("*").alias("n_sent")
     )
-    sent = stage_table(
+    sent = stage(
         last.select(
             *[
                 F.col(c) if c == "prediction_id" else F.col("row")[c].alias(c)
@@ -140,10 +155,11 @@ def matched_labels(predictions: DataFrame, batch: DataFrame) -> DataFrame:
         ),
         "labels",
     )
-    known = predictions.select("prediction_id").join(
+    held = _holding(predictions, sent.select("prediction_id"))
+    known = held.select("prediction_id").join(
         sent.select("prediction_id"), "prediction_id", "left_semi"
     )
-    return stage_table(
+    return stage(
         sent.join(known.withColumn("known", F.lit(True)), "prediction_id", "left").withColumn(
             "known", F.coalesce("known", F.lit(False))
         ),

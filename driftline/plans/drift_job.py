@@ -11,6 +11,9 @@ from ..operators.drift import (
     batch_statistics,
     feature_checks,
     flatten_features,
+    merge_moments,
+    moments,
+    moments_batch,
     nest_profile,
     verdict,
 )
@@ -58,6 +61,76 @@ def run_drift_check(
     )
 
 
+def day_summaries(log: DataFrame, features: list[str]) -> DataFrame:
+    """(model_version, day, n_rows, moments) of the days of some logged rows.
+
+    log: day, model_version, features (JSON). A daily job passes the rows of one day.
+    """
+    flat = flatten_features(log.select("model_version", "day", "features"), "features", features)
+    return moments(flat, features, ["model_version", "day"])
+
+
+def window_moments(
+    log: DataFrame, summaries: DataFrame, begin: Column, end: Column, features: list[str]
+) -> DataFrame:
+    """(model_version, n_rows, moments) of the rows in [begin, end).
+
+    log:       predicted_at, day, model_version, features (JSON); day is the date of the time
+    summaries: model_version, day, n_rows, moments
+
+    Days that lie in the window as a whole come from their summaries; only the rows of the two
+    days at its edges are read. A day without a summary counts as a day without rows.
+    """
+    first = F.when(begin == F.date_trunc("day", begin), F.to_date(begin)).otherwise(
+        F.date_add(F.to_date(begin), 1)
+    )
+    last = F.to_date(end)  # the day that is not whole any more
+    within = (F.col("day") >= first) & (F.col("day") < last)
+    whole = summaries.filter(within).select("model_version", "n_rows", "moments")
+    edge = (F.col("day") == F.to_date(begin)) | (F.col("day") == last)
+    rows = log.filter(
+        edge & ~within & (F.col("predicted_at") >= begin) & (F.col("predicted_at") < end)
+    )
+    flat = flatten_features(rows.select("model_version", "features"), "features", features)
+    parts = whole.unionByName(moments(flat, features, ["model_version"]))
+    return merge_moments(parts.filter(F.col("model_version").isNotNull()), ["model_version"])
+
+
+def run_summarized_check(
+    log: DataFrame,
+    summaries: DataFrame,
+    profiles: DataFrame,
+    versions: DataFrame,
+    as_of: Column,
+    policy: DriftPolicy = DriftPolicy(),
+    end: Column | None = None,
+) -> DataFrame:
+    """``run_drift_check`` from day summaries: all rows from the window's begin on count.
+
+    ``end`` bounds the rows, the end of the log's newest day by default. A policy of newest
+    rows needs the rows themselves.
+    """
+    if policy.max_rows is not None:
+        raise ValueError("summaries know no newest rows; use run_drift_check")
+    baselines = small_side(nest_profile(profiles, ["model_version"]).drop("n_rows"))
+    wanted = small_side(versions.select("model_version").distinct())
+    features = profiled_features(baselines)
+    begin = as_of - F.make_dt_interval(secs=F.lit(policy.window_hours * 3600.0).cast("decimal(18,6)"))
+    if end is None:
+        newest = summaries.agg(F.max("day")).first()[0]
+        end = F.date_add(F.lit(newest).cast("date"), 1).cast(dict(log.dtypes)["predicted_at"])
+    found = moments_batch(window_moments(log, summaries, begin, end, features))
+    joined = null_safe_join(
+        null_safe_join(wanted.df, found, ["model_version"], "left"),
+        baselines.df,
+        ["model_version"],
+        "left",
+    )
+    return judge_batches(joined, policy).select(
+        "model_version", "status", "reason", as_of.alias("checked_at"), "n_rows", "features"
+    )
+
+
 def profiled_features(baselines: SmallSide) -> list[str]:
     """The feature names of all profiles, sorted."""
     if baselines.is_small:

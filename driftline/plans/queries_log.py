@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..functions.stats import ERFC_POLYNOMIAL, critical_z
 from ..functions.values import half_up
 from ..operators import drift, evaluation, feedback, lineage, promotion
-from .drift_job import run_drift_check
+from ..runtime import scratch_path
+from ..sources.stores import LabelStore, PredictionLog, SummaryStore, purge
+from .drift_job import day_summaries, run_drift_check, run_summarized_check
 from .registry import half_up_sql, query
 from .testbed import table
 
@@ -230,6 +232,31 @@ def drift_report(spark, sf_dir):
     )
 
 
+@query(_CHECKS_SQL + _VERDICT_SQL)
+def drift_summaries(spark, sf_dir):
+    """The drift report from stored day summaries and the rows of the window's first day."""
+    log = event_log(spark, sf_dir).withColumn("day", F.to_date("predicted_at"))
+    store = SummaryStore(spark, scratch_path(spark, "summaries"))
+    store.write(day_summaries(log, FEATURES), "all-days")
+    unserved = spark.createDataFrame([("unserved",)], "model_version string")
+    report = run_summarized_check(
+        log,
+        store.read(),
+        event_profiles(spark, sf_dir),
+        log.select("model_version").distinct().unionByName(unserved),
+        _instant(AS_OF),
+        drift.DriftPolicy(window_hours=WINDOW_HOURS, min_predictions=MIN_PREDICTIONS),
+    )
+    return report.select(
+        "model_version",
+        "status",
+        "reason",
+        "n_rows",
+        F.size("features").cast("long").alias("n_checks"),
+        F.size(drift.alerted("features")).cast("long").alias("n_alerts"),
+    )
+
+
 @query(
     _CHECKS_SQL
     + _VERDICT_SQL.replace("SELECT model_version,\n       CASE", ", verdicts AS (SELECT "
@@ -390,14 +417,28 @@ UNION ALL SELECT doc_id::VARCHAR, 'label' FROM labels
 WHERE doc_id IN (SELECT doc_id FROM documents WHERE lang <> 'fr')"""
 )
 def log_purge(spark, sf_dir):
-    kept, labels = feedback.purge_predictions(
-        document_predictions(spark, sf_dir),
-        _labels(spark, sf_dir, "quality", 1),
-        F.col("model_version") == "fr",
-    )
-    return kept.select("prediction_id", F.lit("prediction").alias("kind")).unionByName(
-        labels.select("prediction_id", F.lit("label").alias("kind"))
+    """A language deleted from the stores, twice under one name; its labels go with it."""
+    rows = document_predictions(spark, sf_dir).select(
+        "prediction_id",
+        F.timestamp_seconds(F.lit(0)).alias("predicted_at"),
+        F.lit("m").alias("model_name"),
+        F.lit("a").alias("model_alias"),
+        "model_version",
+        "predicted_segment",
+        *[F.lit(None).cast("double").alias(c) for c in ("confidence", "margin")],
+        F.lit("{}").alias("features"),
     )
+    log = PredictionLog(spark, scratch_path(spark, "purged-log"))
+    store = LabelStore(spark, scratch_path(spark, "purged-labels"))
+    odd = F.col("prediction_id").cast("long") % 2 == 1
+    log.append(rows.filter(odd), "0")
+    log.append(rows, "1")
+    labels = _labels(spark, sf_dir, "quality", 1)
+    store.upsert(log, labels.withColumn("labeled_at", F.timestamp_seconds("labeled_at")), "0")
+    for _ in range(2):
+        purge(log, store, F.col("model_version") == "fr", "drop-fr")
+    kept = log.live().select("prediction_id", F.lit("prediction").alias("kind"))
+    return kept.unionByName(store.current().select("prediction_id", F.lit("label").alias("kind")))
 
 
 # -- promotion ------------------------------------------------------------------------

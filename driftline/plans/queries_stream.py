@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.values import half_up, utc_day, utc_instant
 from ..operators.contracts import Field, ScoringField
 from ..operators.drift import DriftPolicy
-from ..runtime import scratch_path
+from ..runtime import scratch_path, stage_table
 from ..sources.stores import LabelStore
 from ..streaming import jobs
 from .queries_log import FEATURES, _LOG_SQL, critical_z, event_profiles
@@ -160,15 +160,15 @@ def stream_drift(spark, sf_dir):
         "value",
     )
     policy = DriftPolicy(window_hours=24, min_predictions=5)
-    report = jobs.drift_windows(
-        source, event_profiles(spark, sf_dir), FEATURES, policy, watermark="2 hours"
-    )
-    path = scratch_path(spark, "stream-drift")
-    jobs.stream_drift_windows(report, path, scratch_path(spark, "stream-drift-state")).awaitTermination()
+    profiles = stage_table(event_profiles(spark, sf_dir), "profiles")
+    store = jobs.WindowStore(spark, scratch_path(spark, "stream-drift"))
+    jobs.stream_amended_windows(
+        source, store, FEATURES, lambda: profiles, scratch_path(spark, "stream-drift-state"), policy
+    ).awaitTermination()
     value = F.filter("features", lambda c: c["feature"] == "value")[0]["z_score"]
-    day = utc_day("window.start")
+    day = utc_day("window_start")
     return (
-        spark.read.parquet(path)
+        store.current(watermark="2 hours")
         .filter("status <> 'SKIPPED'")
         .select(
             "model_version",

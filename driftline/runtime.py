@@ -74,6 +74,34 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Staging:
+    """Staged tables with an owner: all are deleted when the ``with`` block ends.
+
+    For jobs that have written their results by then; a frame that still reads a staged table
+    must not leave the block.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        context = self.spark.sparkContext
+        for name in self.paths:
+            path = context._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        self.paths.clear()
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class SmallSide:
     """A join side after its size was checked: broadcastable, or too large for that."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +11,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.values import utc_day
 from ..operators.contracts import ScoringField, judge_scoring_rows
-from ..operators.drift import DriftPolicy, batch_statistics, nest_profile
+from ..operators.drift import (
+    MOMENTS,
+    DriftPolicy,
+    batch_statistics,
+    merge_moments,
+    moments,
+    moments_batch,
+    nest_profile,
+)
 from ..plans.drift_job import judge_batches
-from ..runtime import null_safe_join, small_side
+from ..operators.feedback import Log, new_predictions
+from ..runtime import Staging, small_side
 from ..sources.stores import (
+    BUCKET,
+    BUCKETS,
     LABEL_SCHEMA,
     BatchTable,
     LabelStore,
@@ -22,11 +34,17 @@ from ..sources.stores import (
 )
 
 
+#: The checks of a verdict as they are stored.
+CHECKS = (
+    "array<struct<feature:string,reference_mean:double,batch_mean:double,z_score:double,"
+    "p_value:double,status:string>>"
+)
 #: Below a log; readers of the log skip folders of this kind.
 COUNTERS_FOLDER = "_counters"
 _COUNTERS = (
     "batch_id bigint, rows_in bigint, rows_late bigint, rows_duplicate bigint, state_rows bigint"
 )
+_STORED_COUNTERS = f"{_COUNTERS}, newest timestamp"
 
 
 def file_stream(
@@ -59,33 +77,41 @@ def log_batch(
     score: Callable[[DataFrame], DataFrame] | None,
     watermark: str,
 ) -> None:
-    """Log the rows of one micro-batch whose id no other batch has, and count them.
+    """Log the first rows, by time, of ids that no earlier micro-batch has, and count.
 
-    The log is written before the counters; running a batch again replaces both folders.
+    Of the log only the buckets of the batch's ids are read; what it holds and its newest time
+    are carried on in the counters. The log is written before the counters; running a batch
+    again replaces both folders.
     """
     name = batch_name(batch_id)
-    earlier = table.read().filter(F.col("batch") < name)
-    rows = df.persist()
-    scored = (rows if score is None else score(rows)).persist()
-    try:
-        once = scored.dropDuplicates(["prediction_id"])
-        fresh = null_safe_join(once, earlier.select("prediction_id"), ["prediction_id"], "left_anti")
-        table.write(fresh.withColumn("predicted_date", utc_day("predicted_at")), name)
-        logged = table.read().filter(F.col("batch") <= name)
-        written = logged.agg(
-            F.count("*").alias("all"), F.count_if(F.col("batch") == name).alias("new")
-        ).first()
-        mark = earlier.agg(
-            (F.max("predicted_at") - F.expr(f"INTERVAL {watermark}")).alias("mark")
+    with Staging(table.spark) as staging:
+        rows = df.persist()
+        try:
+            scored = staging.put(rows if score is None else score(rows), "scored")
+            rows_in = rows.count()
+        finally:
+            rows.unpersist()
+        fresh = new_predictions(
+            lambda ids: table.holding(ids).filter(F.col("batch") < name), scored, stage=staging.put
+        )
+        fresh = staging.put(fresh.withColumn("predicted_date", utc_day("predicted_at")), "fresh")
+        table.write(fresh, name)
+        before = counters.read().filter(F.col("batch") < name)
+        before = before.agg(F.max("state_rows").alias("held"), F.max("newest").alias("newest"))
+        late = F.col("predicted_at") < F.col("newest") - F.expr(f"INTERVAL {watermark}")
+        sent = scored.join(F.broadcast(before.select("newest")), how="cross").agg(
+            F.count("*").alias("n"), F.count_if(late).alias("late")
         )
-        judged = scored.join(F.broadcast(mark), how="cross").agg(
-            F.count("*").alias("n"), F.count_if(F.col("predicted_at") < F.col("mark")).alias("late")
-        ).first()
-        row = (batch_id, rows.count(), judged.late, judged.n - written.new, written.all)
-        counters.write(table.spark.createDataFrame([row], _COUNTERS), name)
-    finally:
-        scored.unpersist()
-        rows.unpersist()
+        new = fresh.agg(F.count("*").alias("new"), F.max("predicted_at").alias("last"))
+        row = before.join(F.broadcast(sent), how="cross").join(F.broadcast(new), how="cross").select(
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.lit(rows_in).cast("bigint").alias("rows_in"),
+            F.col("late").alias("rows_late"),
+            (F.col("n") - F.col("new")).alias("rows_duplicate"),
+            (F.coalesce("held", F.lit(0)) + F.col("new")).alias("state_rows"),
+            F.greatest("newest", F.col("last").cast("timestamp")).alias("newest"),
+        )
+        counters.write(staging.put(row, "counters"), name)
 
 
 def stream_prediction_log(
@@ -95,14 +121,15 @@ def stream_prediction_log(
     score: Callable[[DataFrame], DataFrame] | None = None,
     watermark: str = "1 hour",
     trigger: dict | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Score a stream and append it, once per id, to batch and day folders of Parquet files.
 
     Every micro-batch replaces the folder of its own name, so a restart neither loses nor
-    repeats rows. Ids of any age are compared, at the price of a scan of the logged ids per
-    micro-batch; no row is refused for its time. Rows older than the newest logged before
-    their batch less the watermark are logged and counted as late, below ``_counters``. A path
-    belongs to one checkpoint.
+    repeats rows. Of rows with one id the first by time is logged. Ids of any age are compared,
+    in the buckets of the batch's ids; no row is refused for its time. Rows older than the newest
+    logged before their batch less the watermark are logged and counted as late, below
+    ``_counters``. A path belongs to one checkpoint and one number of buckets.
     """
     spark = source.sparkSession
     shape = source if score is None else score(source)
@@ -113,10 +140,10 @@ def stream_prediction_log(
     schema = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}"
         for f in shape.schema.fields
-        if f.name != "predicted_date"
+        if f.name not in ("predicted_date", BUCKET)
     )
-    table = BatchTable(spark, path, schema, "predicted_date")
-    counters = BatchTable(spark, f"{path}/{COUNTERS_FOLDER}", _COUNTERS)
+    table = BatchTable(spark, path, schema, "predicted_date", buckets=buckets)
+    counters = BatchTable(spark, f"{path}/{COUNTERS_FOLDER}", _STORED_COUNTERS)
     query = (
         source.writeStream.foreachBatch(
             lambda df, batch_id: log_batch(table, counters, df, batch_id, score, watermark)
@@ -149,7 +176,11 @@ def stream_log_to_store(
 
 
 def reconcile_batch(
-    predictions: DataFrame, labels: LabelStore, pending: BatchTable, df: DataFrame, batch_id: int
+    predictions: Log | PredictionLog,
+    labels: LabelStore,
+    pending: BatchTable,
+    df: DataFrame,
+    batch_id: int,
 ) -> None:
     """Store the labels of one micro-batch together with those still waiting.
 
@@ -164,7 +195,7 @@ def reconcile_batch(
 
 def stream_label_reconcile(
     source: DataFrame,
-    predictions: Callable[[], DataFrame],
+    predictions: Callable[[], Log | PredictionLog],
     labels: LabelStore,
     pending_path: str,
     checkpoint: str,
@@ -172,7 +203,8 @@ def stream_label_reconcile(
 ) -> StreamingQuery:
     """Upsert late labels; unknown ids are tried again with every following batch.
 
-    ``predictions`` is called per batch, so that freshly logged predictions are seen.
+    ``predictions`` is called per batch, so that freshly logged predictions are seen; of a
+    PredictionLog only the buckets of the labelled ids are read.
     """
     pending = BatchTable(labels.spark, pending_path, LABEL_SCHEMA)
     return (
@@ -197,7 +229,7 @@ def drift_windows(
 
     source: predicted_at, model_version and the features as columns. Tumbling windows of
     the policy's length, or sliding ones. State holds one small aggregate per window and
-    version; rows later than the watermark are dropped.
+    version; rows later than the watermark are dropped, which ``stream_amended_windows`` does not.
     """
     length = f"{round(policy.window_hours * 3600)} seconds"
     windows = batch_statistics(
@@ -222,6 +254,107 @@ def stream_drift_windows(
     )
 
 
+@dataclass(frozen=True)
+class WindowStore:
+    """Drift windows that late rows may amend: mergeable moments and verdicts by micro-batch.
+
+    The moments of a micro-batch lie in folders of the window's day; the verdict of a window is
+    that of the newest batch that touched it.
+    """
+
+    spark: SparkSession
+    path: str
+
+    def parts(self) -> BatchTable:
+        schema = (
+            "window_start timestamp, window_end timestamp, model_version string, n_rows bigint, "
+            f"moments {MOMENTS}, newest timestamp"
+        )
+        return BatchTable(self.spark, f"{self.path}/moments", schema, "day")
+
+    def verdicts(self) -> BatchTable:
+        schema = (
+            "window_start timestamp, window_end timestamp, model_version string, n_rows bigint, "
+            f"status string, reason string, features {CHECKS}"
+        )
+        return BatchTable(self.spark, f"{self.path}/verdicts", schema)
+
+    def current(self, watermark: str | None = None) -> DataFrame:
+        """The newest verdict per window and version; with a watermark only of closed windows."""
+        keys = ["window_start", "model_version"]
+        rows = self.verdicts().read()
+        rest = [c for c in rows.columns if c not in (*keys, "batch")]
+        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("row"))
+        found = newest.select(*keys, "row.*")
+        if watermark is None:
+            return found
+        mark = self.parts().read().agg(
+            (F.max("newest") - F.expr(f"INTERVAL {watermark}")).alias("mark")
+        )
+        return found.join(F.broadcast(mark), F.col("window_end") <= F.col("mark")).drop("mark")
+
+
+def window_batch(
+    store: WindowStore,
+    df: DataFrame,
+    batch_id: int,
+    features: list[str],
+    profiles: Callable[[], DataFrame],
+    policy: DriftPolicy,
+    slide: str | None,
+) -> None:
+    """Add the moments of one micro-batch and judge every window that it touches anew.
+
+    Windows of any age are found by their day; only those days are read. Profiles are read per
+    batch. Running a batch again replaces its folders by the same rows.
+    """
+    name = batch_name(batch_id)
+    length = f"{round(policy.window_hours * 3600)} seconds"
+    keys = ["window_start", "window_end", "model_version"]
+    with Staging(store.spark) as staging:
+        rows = df.filter(F.col("model_version").isNotNull()).withColumn(
+            "window", F.window("predicted_at", length, slide)
+        )
+        rows = rows.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
+        part = moments(rows, features, [*keys])
+        newest = rows.groupBy(*keys).agg(F.max("predicted_at").cast("timestamp").alias("newest"))
+        part = part.join(newest, keys).withColumn("day", utc_day("window_start"))
+        part = staging.put(part, "moments")
+        store.parts().write(part, name)
+        days = [r[0] for r in part.select("day").distinct().collect()]
+        known = store.parts().read().filter(F.col("day").isin(days) & (F.col("batch") <= name))
+        touched = part.select(*keys).distinct()
+        merged = moments_batch(merge_moments(known.join(touched, keys, "left_semi"), keys))
+        baselines = small_side(nest_profile(profiles(), ["model_version"]).drop("n_rows"))
+        judged = judge_batches(merged.join(baselines.df, "model_version", "left"), policy)
+        store.verdicts().write(staging.put(judged, "verdicts"), name)
+
+
+def stream_amended_windows(
+    source: DataFrame,
+    store: WindowStore,
+    features: list[str],
+    profiles: Callable[[], DataFrame],
+    checkpoint: str,
+    policy: DriftPolicy = DriftPolicy(),
+    slide: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Drift verdicts per window that no row is too late for.
+
+    source: predicted_at, model_version and the features as columns. ``profiles`` is called
+    per micro-batch, so that a newly published profile counts from then on.
+    """
+    return (
+        source.writeStream.foreachBatch(
+            lambda df, batch_id: window_batch(store, df, batch_id, features, profiles, policy, slide)
+        )
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def sink_counters(query: StreamingQuery) -> DataFrame:
     """Rows in, late, repeated and held (in the log or as state) per micro-batch of the query.
 
@@ -231,7 +364,7 @@ def sink_counters(query: StreamingQuery) -> DataFrame:
     """
     counters = getattr(query, "counters", None)
     if counters is not None:
-        return counters.read().drop("batch")
+        return counters.read().drop("batch", "newest")
     rows = []
     kept = query.recentProgress
     limit = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
