@@ -115,8 +115,15 @@ def _type_fits(actual: T.DataType, declared: str) -> bool:
     return actual.simpleString() == declared
 
 
-def _checks(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
-    """(column, check, number of failures as an aggregate)."""
+def _checks(
+    df: DataFrame, contract: Contract, weight: str | None = None
+) -> list[tuple[str, str, Column]]:
+    """(column, check, number of failures as an aggregate); a row counts ``weight`` times."""
+    def failures(failed: Column) -> Column:
+        if weight is None:
+            return count_where(failed)
+        return F.coalesce(F.sum(F.when(failed, F.col(weight))), F.lit(0))
+
     types = {field.name: field.dataType for field in df.schema.fields}
     entries: list[tuple[str, str, Column]] = []
     for field in contract.fields:
@@ -128,7 +135,7 @@ def _checks(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
         entries.append((field.name, f"type({field.type})", F.lit(0 if fits else 1)))
         if fits:
             entries.extend(
-                (field.name, check, count_where(failed))
+                (field.name, check, failures(failed))
                 for check, failed in field.failures(types[field.name]).items()
             )
     if contract.non_empty:
@@ -136,15 +143,16 @@ def _checks(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
     return entries
 
 
-def _counted(df: DataFrame, contract: Contract) -> DataFrame:
+def _counted(df: DataFrame, contract: Contract, weight: str | None = None) -> DataFrame:
     """One row: n_rows and the report as an array."""
     report = F.array(
         *[
             F.struct(F.lit(column), F.lit(check), n_failed.cast("long"))
-            for column, check, n_failed in _checks(df, contract)
+            for column, check, n_failed in _checks(df, contract, weight)
         ]
     ).cast(_REPORT)
-    return df.agg(F.count("*").alias("n_rows"), report.alias("report"))
+    rows = F.count("*") if weight is None else F.coalesce(F.sum(weight), F.lit(0))
+    return df.agg(rows.alias("n_rows"), report.alias("report"))
 
 
 def failure_report(df: DataFrame, contract: Contract) -> DataFrame:
@@ -172,9 +180,12 @@ def failing_rows(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def validated_rows(df: DataFrame, contract: Contract) -> int:
-    """The number of rows, or one error that names the stage and all failing checks."""
-    found = _counted(df, contract).first()
+def validated_rows(df: DataFrame, contract: Contract, weight: str | None = None) -> int:
+    """The number of rows, or one error that names the stage and all failing checks.
+
+    ``weight`` names a column that tells how many rows each one stands for.
+    """
+    found = _counted(df, contract, weight).first()
     failed = [entry for entry in found.report if entry.n_failed > 0]
     if failed:
         total = sum(entry.n_failed for entry in failed)

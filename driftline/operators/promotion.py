@@ -212,7 +212,9 @@ def _steps(f1: list[float], versions: list[str], tolerance: float) -> list[tuple
     """Which champion leaves a stretch of runs, for any champion entering it.
 
     Only a run that beats all runs before it can be the first one promoted, and from there
-    on the path is fixed: one row per such run, with the end of its path.
+    on the path is fixed: one row per such run, with the end of its path. Neighbouring runs
+    whose paths end alike are one row. With a tolerance of at most 0 every path goes through
+    the highest run, so a stretch of any length is one row.
     """
     last = list(range(len(f1)))
     # runs to the right not hidden by a nearer run with at least their score, farthest first
@@ -227,11 +229,14 @@ def _steps(f1: list[float], versions: list[str], tolerance: float) -> list[tuple
             ahead.pop()
         falling.append(f1[i])
         ahead.append(i)
-    rows, best = [], -float("inf")
+    rows, best, end = [], -float("inf"), None
     for i, score in enumerate(f1):
         if score > best:
             best = score
-            rows.append((score, f1[last[i]], versions[last[i]]))
+            if last[i] == end:
+                rows.pop()
+            end = last[i]
+            rows.append((score, f1[end], versions[end]))
     return rows
 
 
@@ -302,8 +307,8 @@ def replay_promotions(
     runs: model, run_order, version, f1, quality_gate. A verdict depends on the one
     before it, yet no model is replayed in one piece: the runs are cut into ranges in the
     order of model and time; every range tells how it maps a champion entering it to the
-    one leaving it (a few rows, and only for the models that cross its ends); these maps
-    are chained per model; then all ranges are judged side by side. A run whose score is
+    one leaving it (one row if the tolerance is not above 0, and only for the models that cross
+    its ends); these maps, one row a range, are chained per model; then all ranges are judged side by side. A run whose score is
     missing (null or NaN) is an error_profile and leaves the champion as it is.
     """
     known = runs.select(
