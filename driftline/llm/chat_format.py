@@ -68,20 +68,29 @@ MAPPINGS = (
 )
 
 
-def field_paths(value, prefix: str = "") -> set[str]:
+def path_name(key: str) -> str:
+    """A key as it stands in a path: signs that paths use themselves are escaped."""
+    return re.sub(r"[\\.\[\]\n]", lambda sign: "\\" + sign[0], key)
+
+
+def field_paths(value) -> set[str]:
     """Paths of all fields that hold no object or list; nulls count, empty lists have none."""
-    if isinstance(value, dict):
-        return set().union(
-            *(field_paths(v, f"{prefix}.{k}" if prefix else str(k)) for k, v in value.items())
-        )
-    if isinstance(value, list):
-        return set().union(*(field_paths(v, f"{prefix}[]") for v in value))
-    return {prefix}
+    found, left = set(), [("", value)]
+    while left:
+        prefix, inner = left.pop()
+        if isinstance(inner, dict):
+            dot = f"{prefix}." if prefix else ""
+            left += [(dot + path_name(k), v) for k, v in inner.items()]
+        elif isinstance(inner, list):
+            left += [(f"{prefix}[]", v) for v in inner]
+        else:
+            found.add(prefix)
+    return found
 
 
 def fingerprint(paths) -> str:
     """Hash of a set of field paths: equal for records of equal layout, in any field order."""
-    return hashlib.blake2b("\n".join(sorted(paths)).encode(), digest_size=8).hexdigest()
+    return hashlib.blake2b("\n".join(sorted(paths)).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
 def by_fingerprint(mappings) -> dict[str, Mapping]:
@@ -89,25 +98,40 @@ def by_fingerprint(mappings) -> dict[str, Mapping]:
 
 
 def _text(value) -> str:
+    """A value as text; half of a surrogate pair, which no text can hold, becomes U+FFFD."""
     if value is None:
         return ""
-    return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    text = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    try:
+        text.encode()
+    except UnicodeEncodeError:
+        text = text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+    return text
 
 
-def canonical_turns(record: str | None, known: dict[str, Mapping]) -> list[tuple[str, str]]:
-    """(role, text) of one JSON record; none if it is null, no JSON or of no known layout.
+#: Why a record gives no turns.
+NULL_RECORD, NO_JSON, NO_OBJECT, NO_MAPPING = "null", "no JSON", "no object", "unknown layout"
+
+
+def read_record(
+    record: str | None, known: dict[str, Mapping]
+) -> tuple[list[tuple[str, str]], str | None]:
+    """(turns, None) of one JSON record, or no turns and the reason.
 
-    Null texts are empty; optional fields that the record lacks give no turn.
+    Null texts are empty; optional fields that the record lacks give no turn. A record nested
+    deeper than the parser goes counts as no JSON.
     """
+    if record is None:
+        return [], NULL_RECORD
     try:
-        value = json.loads(record) if record else None
-    except ValueError:
-        return []
+        value = json.loads(record)
+    except (ValueError, RecursionError):
+        return [], NO_JSON
     if not isinstance(value, dict):
-        return []
+        return [], NO_OBJECT
     mapping = known.get(fingerprint(field_paths(value)))
     if mapping is None:
-        return []
+        return [], NO_MAPPING
     turns = []
     for item in value[mapping.items] if mapping.items else [value]:
         for role, path in mapping.turns:
@@ -116,7 +140,12 @@ def canonical_turns(record: str | None, known: dict[str, Mapping]) -> list[tuple
             name = _text(item.get(role[1:])) if role[0] == "@" else role
             name = ROLE_NAMES.get(name, name) if role == "@from" else name
             turns.append((name, _text(item[path])))
-    return turns
+    return turns, None
+
+
+def canonical_turns(record: str | None, known: dict[str, Mapping]) -> list[tuple[str, str]]:
+    """(role, text) of one JSON record; none where ``read_record`` gives a reason."""
+    return read_record(record, known)[0]
 
 
 # -- template -------------------------------------------------------------------------
@@ -175,8 +204,8 @@ def format_chats(
     trained on (null: nothing). Rows of an id come together and in order, one task streaming
     through them, so a conversation of any number of turns is never held whole.
 
-    Null records, records that are no JSON and those of unknown layout give no turns; repeated
-    records give each their turns; null ids are one conversation, a null order comes first. An
+    Null records, records that are no JSON and those of unknown layout give no turns
+    (``rejected_records`` has them with the reason); repeated records give each their turns; null ids are one conversation, a null order comes first. An
     empty table gives no rows. Other columns are not read.
     """
     rows = records.select(
@@ -218,9 +247,36 @@ def format_chats(
     )
 
 
+def rejected_records(
+    records: DataFrame,
+    mappings: tuple[Mapping, ...] = MAPPINGS,
+    id_col: str = "conv_id",
+    order_col: str = "turn",
+    record_col: str = "record",
+) -> DataFrame:
+    """Rows (id, order, record, reason) of the records that give no turns, as they were sent."""
+    rows = records.select(f"`{id_col}`", f"`{order_col}`", F.col(f"`{record_col}`").alias(record_col))
+    known = by_fingerprint(mappings)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            reasons = pa.array([read_record(r, known)[1] for r in batch.column(2).to_pylist()], pa.string())
+            whole = pa.RecordBatch.from_arrays(
+                [*batch.columns, reasons], names=[*batch.schema.names, "reason"]
+            )
+            yield whole.filter(reasons.is_valid())
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(judged, f"{kinds}, reason string")
+
+
 def chat_digests(chats: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """Read formatted conversations back, streaming through the rows as ``format_chats`` leaves
-    them: one row (id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) each."""
+    """Read formatted conversations back, one row each: id, n_turns, turns_sha256, loss_chars,
+    loss_sha256, formatted_chars.
+
+    The rows of ``format_chats`` may come in any order; they are brought together by id and read
+    by position. A null id is a conversation. An empty table gives no rows.
+    """
     kind = chats.schema[id_col].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,7 +314,9 @@ def chat_digests(chats: DataFrame, id_col: str = "conv_id") -> DataFrame:
             [pa.array(c, t) for c, t in zip(columns, kinds)], names=names
         )
 
-    return chats.select(id_col, "position", "formatted", "loss_start", "loss_end").mapInArrow(
+    rows = chats.select(id_col, "position", "formatted", "loss_start", "loss_end")
+    ordered = rows.repartition(id_col).sortWithinPartitions(id_col, "position")
+    return ordered.mapInArrow(
         read,
         f"id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
         "formatted_chars long",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import query
 from . import mixing
-from .chat_format import CLOSE, CONTROL, OPEN, chat_digests, format_chats
+from .chat_format import CLOSE, CONTROL, OPEN, ROLE_NAMES, chat_digests, format_chats
 from .common import WORD, ascii_lower_sql, table
 from .exact_dedup import exact_groups
 from .extraction import extract_text
@@ -157,12 +157,22 @@ def _escaped_sql(text: str) -> str:
        FROM t GROUP BY conv_id"""
 )
 def op6_chat(spark, sf_dir):
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    sender = F.when(role == "user", "human").when(role == "assistant", "gpt").otherwise(role)
+    said = lambda **fields: F.struct(*[c.alias(n) for n, c in fields.items()])
+    plain, content = said(role=role, text=text), said(role=role, content=text)
+    listed = said(messages=F.array(content))
+    named = said(conversations=F.array(F.struct(sender.alias("from"), text.alias("value"))))
+    # four layouts side by side; roles that the last one would rename keep to the first
+    kind = F.crc32(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))) % 4
+    record = (
+        F.when(kind == 1, F.to_json(content))
+        .when(kind == 2, F.to_json(listed))
+        .when((kind == 3) & ~role.isin(*ROLE_NAMES), F.to_json(named))
+        .otherwise(F.to_json(plain))
+    )
     rows = table(spark, sf_dir, "conversations").select(
-        F.col("conv_id").cast("long"),
-        F.col("turn").cast("long"),
-        F.to_json(
-            F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-        ).alias("record"),
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), record.alias("record")
     )
     pair = F.to_json(F.struct(F.lit(CONTROL_TEXT).alias("prompt"), F.lit(CONTROL_TEXT).alias("response")))
     added = spark.range(1).select(
