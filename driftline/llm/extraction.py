@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,10 +41,9 @@ HINTS = re.compile(
 )
 _MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.IGNORECASE)
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.DOTALL,
-)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: The rest of a tag; nothing is tried twice, so it takes one look at every sign.
+_REST = re.compile(r"""((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 
 MAIN, OPEN, SIDE = 2, 1, 0
 
@@ -52,12 +52,16 @@ def page_lines(page: str) -> list[tuple[str, int]]:
     """(line, kind) of every block with text, in page order.
 
     MAIN lines are inside the page's article, SIDE lines inside what structure or names mark as
-    menus, notices and the like, OPEN lines in neither.
+    menus, notices and the like, OPEN lines in neither. The time grows with the length of the
+    page: after a tag whose quotes never end, quotes mean nothing any more, and closing tags of
+    names that are not open are passed over without a look at what is.
     """
     lines: list[tuple[str, int]] = []
     held: list[str] = []
     stack: list[tuple[str, bool, bool]] = []
+    opened: Counter[str] = Counter()
     sides = mains = 0
+    quotes = True
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(held)).split())
@@ -67,27 +71,44 @@ def page_lines(page: str) -> list[tuple[str, int]]:
 
     at, end = 0, len(page)
     while at < end:
-        tag = _TAG.search(page, at)
-        if tag is None:
+        start = page.find("<", at)
+        if start < 0:
             held.append(page[at:])
             break
-        if tag.start() > at:
-            held.append(page[at : tag.start()])
-        at = tag.end()
-        if tag[2] is None:
+        held.append(page[at:start])
+        if page.startswith("<!--", start):
+            close = page.find("-->", start + 4)
+            at = close + 3 if close >= 0 else end
+            continue
+        tag = _NAME.match(page, start)
+        if tag is None and page[start + 1 : start + 2] not in ("!", "?"):
+            held.append("<")
+            at = start + 1
+            continue
+        rest = _REST.match(page, tag.end()) if tag and quotes else None
+        if rest is None:
+            quotes = quotes and tag is None
+            close = page.find(">", tag.end() if tag else start)
+            if close < 0:
+                held.append(page[start:])
+                break
+        marks = rest[1] if rest else page[tag.end() if tag else start : close]
+        at = rest.end() if rest else close + 1
+        if tag is None:
             continue
         name = tag[2].lower()
         if name in BLOCK:
             flush()
         if tag[1]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    flush()
-                    for _, side, main in stack[depth:]:
-                        sides -= side
-                        mains -= main
-                    del stack[depth:]
-                    break
+            if not opened[name]:
+                continue
+            flush()
+            closed = None
+            while closed != name:
+                closed, side, main = stack.pop()
+                opened[closed] -= 1
+                sides -= side
+                mains -= main
             continue
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.IGNORECASE).search(page, at)
@@ -96,12 +117,12 @@ def page_lines(page: str) -> list[tuple[str, int]]:
         if name in BLOCK and stack and stack[-1][0] in ("p", "li") and (
             stack[-1][0] == "p" or name == "li"
         ):
-            _, side, main = stack.pop()
+            closed, side, main = stack.pop()
+            opened[closed] -= 1
             sides -= side
             mains -= main
         if name in VOID:
             continue
-        marks = tag[3]
         side = name in ASIDE or (name == "header" and not mains)
         if marks and not side and name not in ("html", "body"):
             side = any(HINTS.search(m) for m in _MARKED.findall(marks)) or bool(
@@ -111,6 +132,7 @@ def page_lines(page: str) -> list[tuple[str, int]]:
             if side:
                 flush()
             stack.append((name, side, name in CONTENT))
+            opened[name] += 1
             sides += side
             mains += name in CONTENT
     flush()
