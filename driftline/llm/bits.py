@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import null_safe_join
 from .common import Stages
 
 #: Proven bound of what is broadcast: words of 64 bits in one filter.
@@ -63,15 +64,20 @@ def bloom(keys: DataFrame, column: str, words: int, probes: int, seed: int) -> D
     return bitmap(marked, words)
 
 
-def without(stages: Stages, rows: DataFrame, dropped: DataFrame, on: list[str]) -> DataFrame:
+def without(
+    stages: Stages, rows: DataFrame, dropped: DataFrame, on: list[str], null_safe: bool = False
+) -> DataFrame:
     """Rows whose key is not in ``dropped``; only rows that a filter of it may hold are shuffled.
 
-    A key with a null in it is never dropped.
+    A key with a null in it is never dropped, or with ``null_safe`` as any other.
     """
     dropped = dropped.select(*on).distinct().withColumn("__key", F.xxhash64(*on))
     words = words_for(max(1, dropped.count()), 12)
     held = stages.put(bloom(dropped, "__key", words, 3, 7), "dropped-bits")
     maybe = has_bits(held, slots(F.xxhash64(*on), words, 3, 7))
-    return rows.filter(~maybe).unionByName(
-        rows.filter(maybe).join(dropped.select(*on), on, "left_anti").select(*rows.columns)
-    )
+    held_rows, gone = rows.filter(maybe), dropped.select(*on)
+    if null_safe:
+        left = null_safe_join(held_rows, gone, on, "left_anti")
+    else:
+        left = held_rows.join(gone, on, "left_anti")
+    return rows.filter(~maybe).unionByName(left.select(*rows.columns))

@@ -88,6 +88,19 @@ def inclusion(factors: DataFrame, share: float) -> DataFrame:
     return scaled.select(*MARGINS, "weight", F.coalesce(probability, F.lit(0.0)).alias("probability"))
 
 
+def cell_columns(
+    text_col: str = "text",
+    source_col: str = "source",
+    lang_col: str = "lang",
+    topic: Column | None = None,
+) -> list[Column]:
+    """Source, language and topic of a document, as its cell names them."""
+    named = [
+        F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("(null)")) for c in (source_col, lang_col)
+    ]
+    return [*named, topic_of(whole_text(text_col)) if topic is None else topic]
+
+
 def mix(
     docs: DataFrame,
     targets: dict | None = None,
@@ -119,9 +132,10 @@ def mix(
     rows = stages.put(
         docs.select(
             F.col(f"`{id_col}`").alias("id"),
-            F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("(null)")).alias("source"),
-            F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("(null)")).alias("lang"),
-            (topic_of(text) if topic is None else topic).alias("topic"),
+            *[
+                column.alias(margin)
+                for margin, column in zip(MARGINS, cell_columns(text_col, source_col, lang_col, topic))
+            ],
             F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_tokens"),
         ),
         "mix-rows",

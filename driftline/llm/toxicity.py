@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stages, ship, slices, whole_text
@@ -157,18 +157,20 @@ class Features:
 
 
 def with_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """Rows (id, features) from rows (id, text)."""
+    """Rows (id, ..., features) from rows (id, text, ...)."""
+    kept = [c for c in docs.columns if c != "text"]
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(lexicon)
         for batch in slices(batches):
             rows = [features.of(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["id", "features"]
+                [*[batch.column(c) for c in kept], pa.array(rows, pa.list_(pa.float64()))],
+                names=[*kept, "features"],
             )
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(featured, f"id {kind}, features array<double>")
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
+    return docs.mapInArrow(featured, f"{kinds}, features array<double>")
 
 
 def score_toxicity(
@@ -178,9 +180,10 @@ def score_toxicity(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
+    carry: dict[str, Column] | None = None,
     stages: Stages | None = None,
 ) -> DataFrame:
-    """One row per document: id, held_out, score, predicted.
+    """One row per document: id, held_out, score, predicted, and the ``carry`` columns of it.
 
     At most ``fit_rows`` labelled rows outside the held-out fold are used to fit: folds 1 to 3
     give the lexicon and the trees, fold 4 the isotonic calibration; the bound keeps lexicon and
@@ -193,7 +196,8 @@ def score_toxicity(
     table gives no rows. Other columns are not read.
     """
     stages = stages or Stages(docs.sparkSession)
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), whole_text(text_col).alias("text"))
+    own = [column.alias(f"own_{name}") for name, column in (carry or {}).items()]
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), whole_text(text_col).alias("text"), *own)
     fold = F.crc32(F.col("id").cast("string")) % 5
     known = labels.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")
@@ -202,7 +206,7 @@ def score_toxicity(
     known = known.filter(F.col("fold") != HELD_OUT).orderBy(F.xxhash64("id"), "id").limit(fit_rows)
     known = stages.put(known, "labels")
     # at most fit_rows narrow rows: bounded by a parameter
-    labelled = stages.put(rows.join(F.broadcast(known), "id"), "labelled")
+    labelled = stages.put(rows.select("id", "text").join(F.broadcast(known), "id"), "labelled")
 
     trees, calibration = labelled.filter(F.col("fold").isin(*TREE_FOLDS)), labelled.filter(
         F.col("fold").isin(*CALIBRATION_FOLDS)
@@ -211,9 +215,7 @@ def score_toxicity(
     seen = {row[0]: row[1] for row in trees.groupBy("label").count().collect()}
     lexicon = learn_lexicon(trees)
 
-    scored = with_features(rows, lexicon).select(
-        "id", array_to_vector("features").alias("features")
-    )
+    scored = with_features(rows, lexicon).withColumn("features", array_to_vector("features"))
     if len(seen) == 2:
         fit = stages.put(
             with_features(labelled.select("id", "text"), lexicon).join(F.broadcast(known), "id"),
@@ -241,4 +243,5 @@ def score_toxicity(
         F.coalesce(fold == HELD_OUT, F.lit(False)).alias("held_out"),
         score.alias("score"),
         (score >= 0.5).cast("int").alias("predicted"),
+        *[F.col(f"own_{name}").alias(name) for name in carry or {}],
     )
