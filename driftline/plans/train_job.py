@@ -14,10 +14,10 @@ from ..operators.cleaning import training_period
 from ..operators.contracts import leak_guard, require_inputs, validate_processed
 from ..operators.drift import reference_profile
 from ..operators.features import BOOKING_SPEC, MEASURED, ModelInputs
-from ..operators.lineage import run_facts
+from ..operators.lineage import run_facts, run_tags
 from ..operators.sampling import stratified_split
 from ..runtime import stage_table
-from ..sources.stores import ProfileStore, RunStore
+from ..sources.stores import PerformanceStore, ProfileStore, RunStore
 
 
 @dataclass(frozen=True)
@@ -157,6 +157,27 @@ def train(
     )
 
 
+def artifacts(run: TrainedRun) -> DataFrame:
+    """(run_id, kind, key, value): report and confusion matrix as JSON, AUC per class as metrics."""
+    def document(table: DataFrame, order: list[str], key: str) -> DataFrame:
+        rows = F.sort_array(F.collect_list(F.struct(*order, *[c for c in table.columns if c not in order])))
+        return table.agg(F.to_json(rows, {"ignoreNullFields": "false"}).alias("value")).select(
+            F.lit("artifact").alias("kind"), F.lit(key).alias("key"), "value"
+        )
+
+    auc = run.auc.select(
+        F.lit("metric").alias("kind"),
+        F.concat(F.lit("roc_auc_"), "label").alias("key"),
+        F.col("auc").cast("string").alias("value"),
+    )
+    found = (
+        document(run.report, ["label"], "evaluation/classification_report.json")
+        .unionByName(document(run.confusion, ["true", "predicted"], "evaluation/confusion_matrix.json"))
+        .unionByName(auc)
+    )
+    return found.select(F.lit(run.run_id).alias("run_id"), "kind", "key", "value")
+
+
 def record(
     run: TrainedRun,
     model_version: str,
@@ -164,9 +185,20 @@ def record(
     profiles: ProfileStore,
     model_path: str,
     min_f1: float = TrainSettings.min_f1,
+    performance: PerformanceStore | None = None,
+    lineage: DataFrame | None = None,
 ) -> None:
-    """Log everything, then raise if the run missed the bar: a failed run stays logged."""
-    runs.log(run.facts, run.run_id)
+    """Log everything, then raise if the run missed the bar: a failed run stays logged.
+
+    ``lineage`` are the tags of ``run_tags``; without them the run carries their "unknown"
+    values, so that no run is without.
+    """
+    known = run.facts.unionByName(artifacts(run))
+    tags = run_tags(runs.spark, run.run_id) if lineage is None else lineage
+    tags = tags.join(known.filter("kind = 'tag'").select("key"), "key", "left_anti")
+    runs.log(known.unionByName(tags.select(*known.columns)), run.run_id)
     profiles.write_profile(run.profile, model_version)
+    if performance is not None:
+        performance.write_performance(run.run_id, run.performance)
     run.model.write().overwrite().save(model_path)
     evaluation.enforce_gate(run.run_id, run.metrics["f1_score"], min_f1)
