@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import draw, draw_digits
-from ..runtime import SmallSide, null_safe_join, small_side, stage_table
+from ..runtime import SmallSide, Staging, null_safe_join, small_side, stage_table
 
 # Rows of one boundary digit up to which one task ranks them directly.
 TASK_ROWS = 1_000_000
@@ -47,6 +47,14 @@ def rank_cuts(
     """
     names = _digit_names(len(digits))
     keyed = df.select(*groups, *[d.alias(name) for d, name in zip(digits, names)])
+    with Staging(df.sparkSession) as staging:
+        # groups and digits once: no pass computes the caller's rows again
+        return _staged_cuts(staging.put(keyed, "digits"), groups, names, takes, task_rows)
+
+
+def _staged_cuts(
+    keyed: DataFrame, groups: list[str], names: list[str], takes: dict[str, Column], task_rows: int
+) -> SmallSide:
     whole = Window.partitionBy(*groups)
     wanted = F.array(
         *[F.struct(F.lit(cut).alias("cut"), take.cast("long").alias("take"))

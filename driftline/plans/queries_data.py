@@ -8,6 +8,8 @@ from ..functions.values import half_up
 from ..operators import cleaning, contracts, sampling
 from ..operators.aggregates import distinct_values, value_counts
 from ..operators.features import BOOKING_SPEC
+from ..runtime import scratch_path
+from ..sources.bookings import read_bookings_csv, write_processed
 from .registry import query
 from .testbed import RAW_BOOKINGS_SQL, SOUND_BOOKINGS_SQL, raw_bookings, sound_bookings, table
 
@@ -62,8 +64,18 @@ def clean_month(spark, sf_dir):
     return cleaning.map_month_name(named)
 
 
+def messy_bookings(spark, sf_dir):
+    """Sound bookings with a class of few rows, and every seventh row sent twice."""
+    few = F.when(F.col("booking_id") % 5000 == 1, "Few").otherwise(F.col("market_segment"))
+    rows = sound_bookings(spark, sf_dir).withColumn("market_segment", few)
+    return rows.unionByName(rows.filter("booking_id % 7 = 0"))
+
+
 _CLEAN_SQL = f"""WITH {SOUND_BOOKINGS_SQL},
-unique_rows AS (SELECT DISTINCT * FROM sound_bookings),
+with_few AS (SELECT * REPLACE (CASE WHEN booking_id % 5000 = 1 THEN 'Few' ELSE market_segment END
+                               AS market_segment) FROM sound_bookings),
+messy AS (SELECT * FROM with_few UNION ALL SELECT * FROM with_few WHERE booking_id % 7 = 0),
+unique_rows AS (SELECT DISTINCT * FROM messy),
 kept AS (SELECT * FROM unique_rows WHERE market_segment IS NOT NULL
                                      AND NOT coalesce(adr < 0, false)),
 valid AS (SELECT market_segment FROM kept GROUP BY market_segment HAVING count(*) >= 10)"""
@@ -78,7 +90,7 @@ FROM kept WHERE market_segment IN (SELECT market_segment FROM valid)
            AND arrival_date_year <= 2000"""
 )
 def clean_bookings(spark, sf_dir):
-    clean, _ = cleaning.clean_bookings(sound_bookings(spark, sf_dir), min_class_count=10)
+    clean, _ = cleaning.clean_bookings(messy_bookings(spark, sf_dir), min_class_count=10)
     recent = cleaning.training_period(clean, 2000)
     contracts.require_inputs(recent, BOOKING_SPEC.sources())
     return recent.select("booking_id", "market_segment", *BOOKING_SPEC.sources())
@@ -87,20 +99,36 @@ def clean_bookings(spark, sf_dir):
 @query(
     _CLEAN_SQL
     + """
-SELECT (SELECT count(*) FROM sound_bookings) AS rows_in,
-       (SELECT count(*) FROM sound_bookings) - (SELECT count(*) FROM unique_rows) AS duplicates,
+SELECT (SELECT count(*) FROM messy) AS rows_in,
+       (SELECT count(*) FROM messy) - (SELECT count(*) FROM unique_rows) AS duplicates,
        (SELECT count(*) FROM unique_rows WHERE adr < 0) AS negative,
        (SELECT count(*) FROM kept
         WHERE market_segment NOT IN (SELECT market_segment FROM valid)) AS rare_class"""
 )
 def removed_counts(spark, sf_dir):
-    _, removed = cleaning.clean_bookings(sound_bookings(spark, sf_dir), min_class_count=10)
+    _, removed = cleaning.clean_bookings(messy_bookings(spark, sf_dir), min_class_count=10)
     return spark.createDataFrame(
         [(removed.rows_in, removed.duplicates, removed.negative, removed.rare_class)],
         "rows_in bigint, duplicates bigint, negative bigint, rare_class bigint",
     )
 
 
+@query(
+    f"""WITH {SOUND_BOOKINGS_SQL}
+SELECT booking_id, market_segment, country, adr, agent, lead_time FROM sound_bookings"""
+)
+def bookings_roundtrip(spark, sf_dir):
+    """Bookings written as CSV, read with declared types, and written as processed Parquet."""
+    rows = sound_bookings(spark, sf_dir)
+    raw, processed = scratch_path(spark, "raw-csv"), scratch_path(spark, "processed")
+    rows.toDF(*[name.replace("_", " ").upper() for name in rows.columns]).write.csv(raw, header=True)
+    write_processed(read_bookings_csv(spark, raw), processed)
+    return spark.read.parquet(processed).select(
+        F.col("booking_id").cast("long").alias("booking_id"),
+        "market_segment", "country", "adr", "agent", "lead_time",
+    )
+
+
 _UNKNOWN = ("hotel", "arrival_date_month", "meal", "country", "reserved_room_type",
             "deposit_type", "customer_type")
 

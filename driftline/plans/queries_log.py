@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import ERFC_POLYNOMIAL, critical_z
-from ..functions.values import half_up
+from ..functions.values import half_up, utc_instant
 from ..operators import drift, evaluation, feedback, lineage, promotion
-from ..runtime import scratch_path
+from ..runtime import scratch_path, stage_table
 from ..sources.stores import LabelStore, PredictionLog, SummaryStore, purge
+from . import registry_job
 from .drift_job import day_summaries, run_drift_check, run_summarized_check
 from .registry import half_up_sql, query
 from .testbed import table
@@ -257,7 +261,7 @@ def drift_summaries(spark, sf_dir):
     )
 
 
-@query(
+_FACTS_SQL = (
     _CHECKS_SQL
     + _VERDICT_SQL.replace("SELECT model_version,\n       CASE", ", verdicts AS (SELECT "
                            "model_version,\n       CASE", 1)
@@ -269,6 +273,9 @@ UNION ALL SELECT model_version, 'metric', 'n_features_alerted', n_alerts::VARCHA
 UNION ALL SELECT model_version, 'metric', 'z_' || feature,
                  (floor(z * 1000 + 0.5)::BIGINT)::VARCHAR FROM checks"""
 )
+
+
+@query(_FACTS_SQL)
 def drift_facts(spark, sf_dir):
     """The recorded facts of the checks; scores as whole thousandths."""
     facts = lineage.check_facts(_event_report(spark, sf_dir), F.col("model_version"))
@@ -278,6 +285,45 @@ def drift_facts(spark, sf_dir):
     )
 
 
+@query(_FACTS_SQL.replace("SELECT model_version AS run_id,", "SELECT 'check-1/' || model_version AS run_id,")
+       .replace("UNION ALL SELECT model_version,", "UNION ALL SELECT 'check-1/' || model_version,"))
+def drift_stored(spark, sf_dir):
+    """The check by alias over stores: versions from the registry, facts read back from the runs."""
+    registry = registry_job.Registry(spark, scratch_path(spark, "drift-registry"))
+    log = PredictionLog(spark, scratch_path(spark, "drift-log"))
+    rows = event_log(spark, sf_dir).select(
+        "prediction_id",
+        utc_instant("predicted_at").alias("predicted_at"),
+        F.lit("events").alias("model_name"),
+        F.lit("live").alias("model_alias"),
+        "model_version",
+        F.lit("x").alias("predicted_segment"),
+        *[F.lit(None).cast("double").alias(c) for c in ("confidence", "margin")],
+        "features",
+    )
+    log.append(rows, "0")
+    types = stage_table(rows.select("model_version").distinct(), "types")
+    types = types.unionByName(spark.createDataFrame([("unserved",)], "model_version string"))
+    versions = types.select(
+        F.col("model_version").alias("model"),
+        F.col("model_version").alias("version"),
+        F.concat(F.lit("run-"), "model_version").alias("run_id"),
+    )
+    registry.register(versions, "000")
+    registry.aliases().write(versions.withColumn("alias", F.lit("live")), "000")
+    registry.profiles().write(event_profiles(spark, sf_dir), "all-versions")
+    policy = drift.DriftPolicy(
+        window_hours=WINDOW_HOURS, min_predictions=MIN_PREDICTIONS, fail_on_alert=False
+    )
+    as_of = utc_instant(F.lit(AS_OF).cast("timestamp_ntz"))
+    registry_job.check_aliases(registry, log, "live", as_of, "check-1", policy)
+    facts = registry.runs().read().filter("kind <> 'artifact'").drop("batch")
+    thousandths = F.floor(F.col("value").try_cast("double") * 1000 + 0.5).cast("string")
+    return facts.withColumn(
+        "value", F.when(F.col("key").startswith("z_"), thousandths).otherwise(F.col("value"))
+    )
+
+
 @query(
     """WITH batch AS (
   SELECT event_id + CASE WHEN event_id % 3 = 0 THEN 100000000 ELSE 0 END AS id, ts, value * 2 AS value
@@ -548,6 +594,52 @@ def promote_apply(spark, sf_dir):
     )
 
 
+@query(
+    f"""WITH {_RUNS_SQL}, moved AS (
+  SELECT * FROM verdicts WHERE verdict IN ('bootstrap', 'accepted'))
+SELECT 'alias' AS kind, 's' || r.s AS model, r.y::VARCHAR AS name,
+       coalesce(m.y, r.y - 1)::VARCHAR AS value
+FROM (SELECT s, y + 1 AS y FROM runs WHERE y < 2001 UNION SELECT s, y FROM moved) r
+     LEFT JOIN moved m USING (s, y)
+UNION ALL SELECT 'predecessor', 's' || s, y::VARCHAR, coalesce(py::VARCHAR, 'none') FROM moved
+UNION ALL SELECT 'canary', 's' || s, y::VARCHAR, verdict FROM verdicts
+WHERE verdict IN ('accepted', 'rejected')"""
+)
+def promote_stored(spark, sf_dir):
+    """The promotions as a job over stores, run twice; aliases, lineage and tags read back."""
+    candidates, _, versions, aliases, profiles = (
+        stage_table(df, "registry") for df in _registry(spark, sf_dir)
+    )
+    registry = registry_job.Registry(spark, scratch_path(spark, "registry"))
+    gates = stage_table(supplier_runs(spark, sf_dir), "runs").select(
+        "run_id", F.lit("tag").alias("kind"), F.lit("quality_gate").alias("key"),
+        F.col("quality_gate").alias("value"),
+    )
+    registry.runs().log(gates, "gates")
+    scores = profiles.withColumns({"accuracy": F.lit(None).cast("double"), "n_eval": F.lit(0).cast("long")})
+    registry.performance().write(scores, "scores")
+    registry.register(versions, "000")
+    registry.aliases().write(aliases, "000")
+    for _ in range(2):
+        registry_job.promote(registry, candidates, "001")
+    parts = [
+        registry.current_aliases().select(
+            F.lit("alias").alias("kind"), "model", F.col("alias").alias("name"), F.col("version").alias("value")
+        ),
+        registry.current_versions().filter("promoted_from_version IS NOT NULL").select(
+            F.lit("predecessor").alias("kind"), "model", F.col("version").alias("name"),
+            F.col("promoted_from_version").alias("value"),
+        ),
+        registry.runs().read().filter("key = 'canary_verdict'").select(
+            F.lit("canary").alias("kind"),
+            F.split("run_id", "-")[0].alias("model"),
+            F.split("run_id", "-")[1].alias("name"),
+            "value",
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     f"""WITH {_RUNS_SQL}
 SELECT 's' || s AS model, (y + 1)::VARCHAR AS alias, y::VARCHAR AS version,
@@ -601,6 +693,24 @@ _ROW = (
 SELECT count(*) AS n_rows, sum(h)::BIGINT AS hash_sum, bit_xor(h)::BIGINT AS hash_xor FROM hashes"""
 )
 def fingerprint(spark, sf_dir):
+    return _orders_fingerprint(spark, sf_dir)
+
+
+@query(
+    f"""WITH hashes AS (
+  SELECT ('0x' || substr({_ROW}, 1, 8))::BIGINT AS h
+  FROM (SELECT *, nullif(o_orderstatus, 'P') AS status FROM orders))
+SELECT 'run-1' AS run_id, 'tag' AS kind, unnest(['git_commit_hash', 'data_hash', 'container_image_tag', 'table'])
+         AS key, unnest(['abc', hash, 'local-dev', 'orders']) AS value
+FROM (SELECT bit_xor(h)::BIGINT::VARCHAR AS hash FROM hashes)"""
+)
+def run_lineage(spark, sf_dir):
+    """The lineage tags of a run over the orders, whose fingerprint is the data hash."""
+    data_hash = str(_orders_fingerprint(spark, sf_dir).first().hash_xor)
+    return lineage.run_tags(spark, "run-1", commit="abc", data_hash=data_hash, table="orders")
+
+
+def _orders_fingerprint(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn(
         "status", F.nullif("o_orderstatus", F.lit("P"))
     )

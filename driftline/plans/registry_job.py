@@ -18,12 +18,16 @@ from ..operators.promotion import (
     resolve_alias,
     rollback_verdict,
 )
-from ..runtime import Staging
+from ..runtime import Staging, stage_table
 from ..sources.stores import BatchTable, PerformanceStore, PredictionLog, ProfileStore, RunStore
 from .drift_job import exit_code, run_drift_check
 
 VERSION_SCHEMA = "model string, version string, run_id string, promoted_from_version string"
 ALIAS_SCHEMA = "model string, alias string, version string"
+VERDICT_SCHEMA = (
+    "model string, alias string, run_id string, version string, champion_version string, "
+    "challenger_f1 double, champion_f1 double, gap double, verdict string"
+)
 
 
 @dataclass(frozen=True)
@@ -61,6 +65,9 @@ class Registry:
     def profiles(self) -> ProfileStore:
         return ProfileStore(self.spark, f"{self.path}/profiles")
 
+    def verdicts(self) -> BatchTable:
+        return BatchTable(self.spark, f"{self.path}/verdicts", VERDICT_SCHEMA)
+
     def current_versions(self, besides: str | None = None) -> DataFrame:
         return self.versions().current(["model", "version"], besides)
 
@@ -88,13 +95,12 @@ def promote(
     """Judge candidate runs (run_id, model, alias) and record what follows; returns the verdicts.
 
     Reads the gates of the runs, versions, aliases and test scores from the registry. Writes the
-    moved aliases, the promoted versions with their predecessor, and the canary verdict of every
-    run that was compared. Batch names sort in the order of the promotions; a batch that runs
+    moved aliases, the promoted versions with their predecessor, all verdicts, and the canary
+    verdict of every run that was compared. Batch names sort in the order of the promotions; a batch that runs
     again sees what was there before it and writes the same. Several promotions of one alias in
     a batch raise before anything is written.
     """
-    spark = registry.spark
-    with Staging(spark) as staging:
+    with Staging(registry.spark) as staging:
         versions = staging.put(registry.current_versions(batch), "versions")
         verdicts = staging.put(
             promotion_verdict(
@@ -119,8 +125,8 @@ def promote(
         registry.runs().log(canary_tags(verdicts), f"canary-{batch}")
         # the aliases last: what they point to is known by then
         registry.aliases().write(moved.select("model", "alias", "version"), batch)
-        rows = verdicts.collect()
-        return spark.createDataFrame(rows, verdicts.schema)
+        registry.verdicts().write(verdicts, batch)
+    return registry.verdicts().read().filter(F.col("batch") == batch).drop("batch")
 
 
 def roll_back(registry: Registry, model: str, alias: str, batch: str) -> str:
@@ -164,7 +170,7 @@ def check_aliases(
             as_of,
             policy,
         )
-        report = staging.put(report, "report")
+        report = stage_table(report, "drift-report")  # it is returned, so it outlives the job
         run_id = F.concat(F.lit(f"{check_id}/"), F.col("model_version"))
         document = F.to_json(F.struct(*report.columns), {"ignoreNullFields": "false"})
         whole = report.select(
@@ -174,6 +180,4 @@ def check_aliases(
             document.alias("value"),
         )
         registry.runs().log(check_facts(report, run_id).unionByName(whole), check_id)
-        rows = report.collect()
-        kept = registry.spark.createDataFrame(rows, report.schema)
-        return kept, exit_code(kept, policy)
+    return report, exit_code(report, policy)

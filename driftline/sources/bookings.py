@@ -44,10 +44,24 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, missing-value tokens as null. No inference pass over the data."""
-    # quotes are doubled inside quoted fields, which may hold line breaks; files are read by name
-    text = spark.read.options(header=True, multiLine=True, escape='"', enforceSchema=False).csv(path)
+def has_open_quotes(spark: SparkSession, path: str) -> bool:
+    """Whether a line holds an odd number of quotes, as it does where a field goes on after it."""
+    lines = spark.read.text(path)
+    return not lines.filter(F.regexp_count("value", F.lit('"')) % 2 == 1).isEmpty()
+
+
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """Every column as text, missing-value tokens as null. No inference pass over the data.
+
+    Where a line is a row, one large file is read by many tasks; with ``multi_line`` quoted
+    fields may hold line breaks and every file is one task. By default a parallel look at the
+    quotes of all lines decides.
+    """
+    if multi_line is None:
+        multi_line = has_open_quotes(spark, path)
+    # quotes are doubled inside quoted fields; columns are read by name
+    options = {"header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False}
+    text = spark.read.options(**options).csv(path)
     return text.select(
         *[missing_token_to_null(F.col(f"`{name}`")).alias(name) for name in text.columns]
     )
@@ -67,8 +81,13 @@ def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.select(*columns)
 
 
-def read_bookings_csv(spark: SparkSession, path: str, types: dict[str, str] = BOOKING_TYPES):
-    return typed(normalize_columns(read_csv_text(spark, path)), types)
+def read_bookings_csv(
+    spark: SparkSession,
+    path: str,
+    types: dict[str, str] = BOOKING_TYPES,
+    multi_line: bool | None = None,
+) -> DataFrame:
+    return typed(normalize_columns(read_csv_text(spark, path, multi_line)), types)
 
 
 def _place(path: str) -> str:
