@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .bits import bloom, has_bits, slots, words_for
+from .block_links import cluster_links
 from .common import Stages, ship, slices, whole_text
 from .components import components
+from .shingles import FOLD, confirmed, mix, shingle_set
 
 ship(__name__)
 
@@ -22,49 +23,33 @@ ship(__name__)
 POSITIONS = 1024
 LOW_BITS = 2
 LANES = POSITIONS // 64
-#: Two texts of similarity 0.8 share none of 38 bands of 5 minima with a chance of 3 in 10**7.
-BAND_ROWS = 5
-BANDS = 38
-#: A pair is confirmed on its full sets unless its estimate is over four deviations below the bound.
+#: Chance that two texts just at the bound share no band.
+MISSED = 3e-7
+#: Pairs that are estimated further below the bound are not worth an early confirmation.
 MARGIN = 0.064
 BLOCK = 256
-#: Bucket ends of either kind that an id is confirmed against before all open pairs are.
+#: Bucket ends of either kind that an id is confirmed against before the blocks are.
 STARS = 2
 
-_FOLD = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    """Spread all bits of 64-bit numbers."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     """Factors and summands of the hash functions."""
-    numbers = _mix(np.arange(1, 2 * POSITIONS + 1, dtype=np.uint64) * _FOLD).astype(np.uint32)
+    numbers = mix(np.arange(1, 2 * POSITIONS + 1, dtype=np.uint64) * FOLD).astype(np.uint32)
     return numbers[:POSITIONS] | np.uint32(1), numbers[POSITIONS:]
 
 
-def shingle_set(text: str, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's shingles.
+def bands_for(percent: int) -> tuple[int, int]:
+    """(bands, minima in each) for a bound: a band is shared by about a third of the pairs there."""
+    if not 0 < percent < 100:
+        raise ValueError(f"percent must lie between 0 and 100, not {percent}")
+    alike = percent / 100
+    rows = min(25, max(1, round(math.log(1 / 3) / math.log(alike))))
+    bands = math.ceil(math.log(MISSED) / math.log(1 - alike**rows))
+    if bands * rows > POSITIONS:
+        raise ValueError(f"{POSITIONS} minima are too few for {percent} percent")
+    return bands, rows
 
-    A-Z are lower-cased, words are what ASCII white space separates; fewer words than ``width``
-    are one shingle together, no words are none.
-    """
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = np.array(list(map(xxhash.xxh64_intdigest, words)), np.uint64)
-    size = min(width, len(hashes))
-    folded = np.full(len(hashes) - size + 1, size, np.uint64)
-    for k in range(size):
-        folded = folded * _FOLD + hashes[k : len(hashes) - size + 1 + k]
-    return np.unique(_mix(folded))
-
-
-def sketch(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+def sketch(shingles: np.ndarray, percent: int = 80) -> tuple[np.ndarray, np.ndarray]:
     """(bit planes of the hashed minima's low bits, band hashes), both as signed longs.
 
     A minimum's own low bits follow from those of its element, as the factors are odd: in small
@@ -77,15 +62,16 @@ def sketch(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         block = halves[start : start + BLOCK, None] * times
         block += plus
         np.minimum(minima, block.min(axis=0), out=minima)
-    mixed = _mix(minima + np.arange(1, POSITIONS + 1, dtype=np.uint64) * _FOLD)
+    mixed = mix(minima + np.arange(1, POSITIONS + 1, dtype=np.uint64) * FOLD)
     planes = [
         np.packbits(((mixed >> np.uint64(bit)) & np.uint64(1)).astype(bool), bitorder="little")
         for bit in range(LOW_BITS)
     ]
-    bands = np.arange(BANDS, dtype=np.uint64)
-    for row in minima[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS).T:
-        bands = bands * _FOLD + row
-    return np.concatenate(planes).view(np.int64), _mix(bands).view(np.int64)
+    number, rows = bands_for(percent)
+    bands = np.arange(number, dtype=np.uint64)
+    for row in minima[: number * rows].reshape(number, rows).T:
+        bands = bands * FOLD + row
+    return np.concatenate(planes).view(np.int64), mix(bands).view(np.int64)
 
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:
@@ -94,7 +80,7 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
+def sketches(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Rows (id, digest of the set, n_shingles, planes, bands) from rows (id, text)."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,7 +92,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 sizes.append(len(shingles))
                 if len(shingles):
                     digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
-                    bits, hashes = sketch(shingles)
+                    bits, hashes = sketch(shingles, percent)
                 else:
                     digests.append(None)
                     bits = hashes = nothing
@@ -142,15 +128,6 @@ def estimate(left: str, right: str) -> Column:
     return (1 - differing / POSITIONS - chance) / (1 - chance)
 
 
-def first_shared(left: str, right: str) -> Column:
-    """The first band that two documents share.
-
-    A lambda also keeps the join's condition out of whole-stage code, where the estimate makes a
-    method too long to be compiled; outside it is split into short ones.
-    """
-    return F.get(F.filter(left, lambda band: F.array_contains(right, band)), F.lit(0))
-
-
 def with_planes(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs (a, b) with the estimate of their similarity."""
     planes = reps.select("id", "planes")
@@ -160,50 +137,6 @@ def with_planes(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return joined.select("a", "b", estimate("planes_a", "planes_b").alias("estimate"))
 
 
-def confirmed(
-    stages: Stages, pairs: DataFrame, docs: DataFrame, width: int, percent: int
-) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have the similarity; texts travel, not sets.
-
-    Only texts that a filter of the pairs' ids may hold are shuffled.
-    """
-    pairs = stages.put(pairs.select("a", "b").distinct(), "pairs")
-    ids = stages.put(
-        pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids"
-    )
-    words = words_for(max(1, ids.count()), 12)
-    held = stages.put(bloom(ids, "id", words, 3, 5), "pair-bits")
-    asked = docs.filter(has_bits(held, slots(F.col("id"), words, 3, 5)))
-    texts = stages.put(asked.join(ids, "id", "left_semi"), "pair-texts")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
-    )
-
-    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, np.ndarray] = {}
-        for batch in slices(batches):
-            linked = []
-            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                one = shingle_set(left, width)
-                if right not in known:  # pairs come by their second text
-                    known = {right: shingle_set(right, width)}
-                two = known[right]
-                shared = len(np.intersect1d(one, two, assume_unique=True))
-                union = len(one) + len(two) - shared
-                linked.append(union > 0 and 100 * shared >= percent * union)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())],
-                names=["a", "b", "linked"],
-            )
-
-    links = both.select("a", "b", "text_a", "text_b").mapInArrow(
-        checked, "a long, b long, linked boolean"
-    )
-    links = stages.put(links.filter("linked").select("a", "b"), "links")
-    stages.drop(texts, ids, held)
-    return links
-
-
 def star_pairs(shared: DataFrame, reps: DataFrame, least: float) -> DataFrame:
     """For every representative the smallest and the largest bucket members it meets most often.
 
@@ -222,44 +155,21 @@ def star_pairs(shared: DataFrame, reps: DataFrame, least: float) -> DataFrame:
     return likely.select("a", "b")
 
 
-def open_pairs(
-    shared: DataFrame, reps: DataFrame, found: DataFrame, tested: DataFrame, least: float
-) -> DataFrame:
-    """All pairs of a bucket that lie in different components, estimated high, not yet tested.
+def open_clusters(stages: Stages, shared: DataFrame, found: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Staged rows (id, cluster, component, weight) of texts that still have something to test.
 
-    Buckets of one component have none. In the others the commonest component's members meet
-    only the rest, so a large group of copies costs its size times the strangers beside it. A pair is
-    made in the first of its shared buckets only.
+    These are the members of buckets that hold more than one component; buckets with a member in
+    common are one cluster.
     """
-    placed = shared.select("bucket", "id").join(found, "id", "left")
+    placed = shared.select("bucket", "low", "id").join(found, "id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "id"))
-    sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (
-        sizes.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("top"))
-        .filter("parts > 1")
-        .select("bucket", F.col("top.component").alias("top"))
-    )
-    members = placed.join(mixed, "bucket").join(reps.select("id", "planes", "bands"), "id")
-    side = lambda name: members.select(
-        "bucket",
-        F.col("id").alias(name),
-        F.col("component").alias(f"part_{name}"),
-        (F.col("component") == F.col("top")).alias(f"top_{name}"),
-        F.col("planes").alias(f"planes_{name}"),
-        F.col("bands").alias(f"bands_{name}"),
-    )
-    left, right = side("a").filter(~F.col("top_a")), side("b").withColumnRenamed("bucket", "there")
-    pairs = left.join(
-        right,
-        (F.col("bucket") == F.col("there"))
-        & (F.col("part_a") != F.col("part_b"))
-        & (F.col("top_b") | (F.col("a") < F.col("b")))
-        & (estimate("planes_a", "planes_b") >= least)
-        & (F.col("bucket") == first_shared("bands_a", "bands_b")),
-    )
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    mixed = placed.groupBy("bucket").agg(F.min("component") != F.max("component"))
+    mixed = stages.put(mixed.toDF("bucket", "mixed").filter("mixed").select("bucket"), "mixed")
+    still = placed.join(mixed, "bucket", "left_semi")
+    clusters = components(stages, still.select(F.col("id").alias("a"), F.col("low").alias("b")))
+    clusters = clusters.select("id", F.col("component").alias("cluster"))
+    members = still.select("id", "component").distinct().join(clusters, "id")
+    return stages.put(members.join(sizes, "id"), "open")
 
 
 def near_duplicates(
@@ -273,12 +183,13 @@ def near_duplicates(
     """One row per document: id, n_shingles, component_id, kept.
 
     Documents of equal shingle sets are one class, its smallest id speaks for it. Classes that
-    share a band are candidates: first each is confirmed against the commonest of its buckets'
-    ends, which joins large groups of near copies at a linear cost; then all remaining pairs of a
-    bucket whose members are in different components are estimated from their packed low bits,
-    and those above the bound less a margin are confirmed on the full sets. A link is
+    share a band are candidates: first each is compared with the commonest of its buckets' ends by
+    the packed low bits, and confirmed on the full sets if the estimate comes near the bound,
+    which joins large groups of near copies at a linear cost; then the texts of buckets that
+    still hold different components are tested on their full sets, block against block. So
+    texts that link and share a band are never apart, whatever their estimate. A link is
     100 * intersection >= percent * union. Components are over the confirmed links; the smallest
-    id of each is kept.
+    id of each is kept. The number of bands follows from ``percent``.
 
     Null texts count as empty; documents without words have no shingles and no links. A null id
     is linked with nothing, has a null component and is kept. Rows repeating an id belong to one
@@ -289,7 +200,7 @@ def near_duplicates(
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), whole_text(text_col).alias("text")
     )
-    drawn = stages.put(sketches(rows, width), "sketches")
+    drawn = stages.put(sketches(rows, width, percent), "sketches")
     classes = stages.put(
         drawn.filter("digest IS NOT NULL AND id IS NOT NULL")
         .groupBy("digest")
@@ -297,9 +208,9 @@ def near_duplicates(
         "classes",
     )
     reps = stages.put(
-        drawn.join(classes.withColumnRenamed("rep", "id"), ["id", "digest"], "left_semi").select(
-            "id", "planes", "bands"
-        ),
+        drawn.join(classes.withColumnRenamed("rep", "id"), ["id", "digest"], "left_semi")
+        .select("id", "digest", "n_shingles", "planes", "bands")
+        .dropDuplicates(["id", "digest"]),
         "representatives",
     )
     banded = reps.select("id", F.explode("bands").alias("bucket"))
@@ -310,8 +221,9 @@ def near_duplicates(
     first = stages.put(star_pairs(shared, reps, least), "star-pairs")
     links = confirmed(stages, first, rows, width, percent)
     found = stages.put(components(stages, links), "groups")
-    second = stages.put(open_pairs(shared, reps, found, first, least), "open-pairs")
-    more = confirmed(stages, second, rows, width, percent)
+    sizes = reps.groupBy("id").agg(F.sum("n_shingles").alias("weight"))
+    left = open_clusters(stages, shared, found, sizes)
+    more = cluster_links(stages, left, rows, width, percent)
     found = components(stages, links.unionByName(more))
 
     placed = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left")
@@ -324,5 +236,5 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
-    stages.drop(shared, reps, first, second)
+    stages.drop(shared, reps, first, left)
     return result

@@ -1,0 +1,186 @@
+"""The n-gram join and the block tests against all pairs, on small and awkward tables."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from driftline.llm import block_links, near_dedup, ngram_join as nj
+from driftline.llm.common import Stages
+
+DOCS = "doc_id long, text string, id string, n string, key string, row string"
+
+
+def _lower(text):
+    return (text or "").translate({c: c + 32 for c in range(65, 91)})
+
+
+def shingles(text, width):
+    words = re.findall(r"[^\x20\x09-\x0D]+", _lower(text))
+    if len(words) < width:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+
+
+def brute_components(texts, width, percent):
+    """id -> (smallest linked id, number of shingles), all pairs compared."""
+    sets = {}
+    for i, text in texts:
+        sets.setdefault(i, []).append(shingles(text, width))
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    flat = [(i, s) for i, several in sets.items() for s in several if s]
+    for x, (a, one) in enumerate(flat):
+        for b, two in flat[x + 1 :]:
+            if 100 * min(len(one), len(two)) < percent * max(len(one), len(two)):
+                continue
+            both = len(one & two)
+            if 100 * both >= percent * (len(one) + len(two) - both):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return {i: root(i) for i in sets}
+
+
+def check(spark, rows, width=5, percent=80, find=nj.ngram_join):
+    frame = spark.createDataFrame([(i, t, "a", "b", "c", "d") for i, t in rows], DOCS)
+    found = find(frame, width, percent).collect()
+    known = [(i, t) for i, t in rows if i is not None]
+    expected = brute_components(known, width, percent)
+    assert sorted(str((r.doc_id, r.n_shingles)) for r in found) == sorted(
+        str((i, len(shingles(t, width)))) for i, t in rows
+    )
+    for r in found:
+        assert r.component_id == (None if r.doc_id is None else expected[r.doc_id])
+
+
+def edited(rng, base, edits, mark):
+    words = list(base)
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"{mark}{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_join_of_odd_texts(spark):
+    long_text = " ".join(f"w{i % 977}x" for i in range(9_000))
+    check(
+        spark,
+        [
+            (1, "Alpha beta gamma delta epsilon zeta"), (2, "ALPHA beta gamma delta epsilon zeta"),
+            (2, "ALPHA beta gamma delta epsilon zeta"), (2, "quite another text under one id here"),
+            (3, None), (4, ""), (5, " \n\t "), (6, "one"), (7, "ONE"), (8, "É é"), (9, long_text),
+            (10, long_text + " end"), (None, "one"), (12, "x " * 3_000), (13, "é É"),
+            (14, "quite another text under one id here"),
+        ],
+    )
+
+
+def test_join_of_an_empty_table(spark):
+    assert nj.ngram_join(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_subsets_link_all_small_sets_at_the_bound(spark, monkeypatch):
+    rng, rows = random.Random(3), []
+    for group in range(40):  # sets of 1 to 14 shingles, grown by words at either end
+        words = [f"g{group}w{k}" for k in range(rng.randrange(5, 17))]
+        for _ in range(4):
+            extra = [f"g{group}x{rng.randrange(3)}" for _ in range(rng.randrange(3))]
+            rows.append((len(rows), " ".join(words + extra if rng.random() < 0.5 else extra + words)))
+    for bound in (9, 17):  # some small, all small
+        monkeypatch.setattr(nj, "boundary", lambda *_, bound=bound: bound)
+        check(spark, rows)
+
+
+@pytest.mark.parametrize("percent", [60, 80])
+def test_copies_near_the_bound_and_shared_passages(spark, percent):
+    rng = random.Random(percent)
+    bases = [[f"v{rng.randrange(10**6)}" for _ in range(rng.randrange(40, 90))] for _ in range(4)]
+    passage = [f"p{k}" for k in range(60)]
+    rows = [
+        (len(bases) * k + j, edited(rng, base, rng.choice([0, 1, 1, 2, 3, 4]), "e"))
+        for k in range(40) for j, base in enumerate(bases)
+    ]
+    for k in range(40):  # a passage in many texts, in some of them nearly all there is
+        own = [f"o{k}n{j}" for j in range(rng.choice([2, 8, 60]))]
+        rows.append((1_000 + k, " ".join(own + passage)))
+    check(spark, rows, percent=percent)
+
+
+def just_below(rng, number):
+    """Texts of which any two have a similarity slightly below 0.8, and a few copies."""
+    base = [f"b{k}" for k in range(200)]
+    texts = []
+    for k in range(number):
+        words = list(base)
+        for j in range(4):
+            words[rng.randrange(50) + 50 * j] = f"t{k}x{j}"
+        texts.append(" ".join(words))
+    return texts + texts[:5]
+
+
+def test_many_texts_just_below_the_bound(spark):
+    rows = list(enumerate(just_below(random.Random(5), 300)))
+    check(spark, rows)
+    check(spark, rows, find=near_dedup.near_duplicates)
+
+
+def test_clusters_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(block_links, "BLOCK_SHINGLES", 3_000)
+    rng = random.Random(6)
+    base = [f"c{k}" for k in range(120)]
+    copies = [edited(rng, base, rng.choice([1, 2, 3]), "e") for _ in range(120)]
+    check(spark, list(enumerate(copies + just_below(rng, 60))))
+    check(spark, list(enumerate(copies + just_below(rng, 60))), find=near_dedup.near_duplicates)
+
+
+def test_no_pair_becomes_a_row(spark):
+    """The links of a cluster are fewer than its texts, however many pairs link."""
+    rng = random.Random(7)
+    base = [f"c{k}" for k in range(100)]
+    rows = [(i, edited(rng, base, 1, "e")) for i in range(200)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    members = docs.selectExpr("id", "0L AS cluster", "id AS component", "100L AS weight")
+    stages = Stages(spark)
+    links = block_links.cluster_links(stages, stages.put(members, "m"), docs, 5, 80)
+    assert links.count() < len(rows)
+
+
+def test_published_keys_are_enough():
+    """Any two sets that link publish as many common keys as the smaller one's spare."""
+    rng = random.Random(8)
+    for _ in range(3_000):
+        percent = rng.choice([60, 80, 90])
+        common = rng.randrange(1, 120)
+        extra = [rng.randrange(0, 1 + common * (100 - percent) // percent) for _ in range(2)]
+        if 100 * common < percent * (common + sum(extra)):
+            continue
+        pool = rng.sample(range(10**6), common + sum(extra))
+        one = sorted(pool[:common] + pool[common : common + extra[0]])
+        two = sorted(pool[:common] + pool[common + extra[0] :])
+        shown = [set(s[: nj.published(len(s), percent)]) for s in (one, two)]
+        least = min(nj.spare(len(one)), nj.spare(len(two)), nj.least_partner(min(len(one), len(two)), percent))
+        assert len(shown[0] & shown[1]) >= min(least, common)
+
+
+def test_the_boundary_follows_the_cost():
+    assert nj.boundary({5: 100}, 1.0, 80) == 1
+    assert nj.boundary({5: 100, 16: 100}, 200.0, 80) == 6
+    assert nj.boundary({n: 10 for n in range(1, 17)}, 1e9, 80) == 17
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_bands_follow_the_bound(percent):
+    bands, rows = near_dedup.bands_for(percent)
+    assert (1 - (percent / 100) ** rows) ** bands <= near_dedup.MISSED
+    assert len(near_dedup.sketch(np.arange(1, 50, dtype=np.uint64), percent)[1]) == bands
+
+
+@pytest.mark.parametrize("percent", [0, 100])
+def test_bounds_without_bands_are_refused(percent):
+    with pytest.raises(ValueError):
+        near_dedup.bands_for(percent)
