@@ -185,6 +185,9 @@ RANGE_RUNS = 500_000
 # Runs below which a range of its own is not worth a task.
 MIN_RANGE_RUNS = 1_000
 
+# Neighbouring ranges that are composed in one group.
+FAN = 64
+
 # The functions below run in Python workers, which need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -252,20 +255,78 @@ def _chunk_steps(runs: pd.DataFrame, tolerance: float) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["model", "chunk", "threshold", "last", "last_version"])
 
 
-def _entries(steps: pd.DataFrame, tolerance: float) -> pd.DataFrame:
-    """The champion entering every range of one model."""
-    champion, version = None, None
-    rows = []
+def _passed(champion, version, falling: list[float], ends: list[tuple], tolerance: float) -> tuple:
+    """The champion that leaves a range, given the one that enters it; ``falling`` thresholds."""
+    n = len(falling) if champion is None else _n_accepted(falling, champion, tolerance)
+    return ends[n - 1] if n else (champion, version)
+
+
+def _maps(steps: pd.DataFrame) -> list[tuple]:
+    """(range, thresholds from the highest down, ends of their paths) in the order of the ranges."""
+    found = []
     for chunk, part in steps.groupby("chunk", sort=True):
-        rows.append((steps["model"].iloc[0], chunk, champion, version))
         part = part.dropna(subset=["threshold"]).sort_values("threshold", ascending=False)
-        falling = part["threshold"].tolist()
-        n = len(falling) if champion is None else _n_accepted(falling, champion, tolerance)
-        if n:
-            champion, version = part["last"].iloc[n - 1], part["last_version"].iloc[n - 1]
+        found.append((chunk, part["threshold"].tolist(), list(zip(part["last"], part["last_version"]))))
+    return found
+
+
+def _entries(steps: pd.DataFrame, tolerance: float) -> pd.DataFrame:
+    """The champion entering every range of a model, from the one entering the first of them."""
+    first = steps.iloc[0]
+    champion, version = (None, None) if pd.isna(first["entry"]) else (first["entry"], first["entry_version"])
+    rows = []
+    for chunk, falling, ends in _maps(steps):
+        rows.append((first["model"], chunk, champion, version))
+        champion, version = _passed(champion, version, falling, ends, tolerance)
     return pd.DataFrame(rows, columns=["model", "chunk", "entry", "entry_version"])
 
 
+def _composed(steps: pd.DataFrame, tolerance: float) -> pd.DataFrame:
+    """Neighbouring ranges of a model as one: the same rows as a range has, under their block.
+
+    A threshold counts only if it is above all of the ranges before: a champion that it beats
+    would have lost to those. Its path goes on through the ranges behind it.
+    """
+    maps, rows, best = _maps(steps), [], -float("inf")
+    for i, (_, falling, ends) in enumerate(maps):
+        for threshold, (last, version) in zip(reversed(falling), reversed(ends)):
+            if threshold <= best:
+                continue
+            for _, later, paths in maps[i + 1 :]:
+                last, version = _passed(last, version, later, paths, tolerance)
+            if rows and rows[-1][3:] == (last, version):
+                rows.pop()
+            rows.append((steps["model"].iloc[0], steps["block"].iloc[0], threshold, last, version))
+        best = max([best, *falling[:1]])
+    rows = rows or [(steps["model"].iloc[0], steps["block"].iloc[0], None, None, None)]
+    return pd.DataFrame(rows, columns=["model", "chunk", "threshold", "last", "last_version"])
+
+
+def _chained(steps: DataFrame, n_ranges: int, tolerance: float, fan: int) -> DataFrame:
+    """(model, chunk, entry, entry_version), the maps composed as a tree of ``fan`` children.
+
+    A group is at most ``fan`` neighbouring ranges of a model; blocks of ranges are composed, the
+    champions entering the blocks are found the same way, and each block hands them on to its
+    ranges.
+    """
+    blocked = steps.withColumn("block", F.floor(F.col("chunk") / fan).cast("int"))
+    none = {"entry": F.lit(None).cast("double"), "entry_version": F.lit(None).cast("string")}
+    if n_ranges <= fan:
+        known = blocked.withColumns(none)
+    else:
+        blocked = stage_table(blocked, "steps")
+        composed = blocked.groupBy("model", "block").applyInPandas(
+            lambda part: _composed(part, tolerance), _STEPS
+        )
+        above = _chained(composed, -(-n_ranges // fan), tolerance, fan)
+        known = null_safe_join(
+            blocked, above.withColumnRenamed("chunk", "block"), ["model", "block"], "left"
+        )
+    return known.groupBy("model", "block").applyInPandas(
+        lambda part: _entries(part, tolerance), _ENTRY
+    )
+
+
 def _judge(runs: pd.DataFrame, tolerance: float) -> pd.DataFrame:
     """Verdict of every run of a range, given the champions that enter it."""
     runs = runs.sort_values(["model", "run_order"], kind="stable")
@@ -300,7 +361,7 @@ def _judge(runs: pd.DataFrame, tolerance: float) -> pd.DataFrame:
 
 
 def replay_promotions(
-    runs: DataFrame, tolerance: float = TOLERANCE, range_runs: int = RANGE_RUNS
+    runs: DataFrame, tolerance: float = TOLERANCE, range_runs: int = RANGE_RUNS, fan: int = FAN
 ) -> DataFrame:
     """Promote run after run, as if each had been a candidate when it was made.
 
@@ -308,7 +369,7 @@ def replay_promotions(
     before it, yet no model is replayed in one piece: the runs are cut into ranges in the
     order of model and time; every range tells how it maps a champion entering it to the
     one leaving it (one row if the tolerance is not above 0, and only for the models that cross
-    its ends); these maps, one row a range, are chained per model; then all ranges are judged side by side. A run whose score is
+    its ends); these maps are composed as a tree of neighbouring ranges; then all ranges are judged side by side. A run whose score is
     missing (null or NaN) is an error_profile and leaves the champion as it is.
     """
     known = runs.select(
@@ -332,9 +393,7 @@ def replay_promotions(
     steps = ranged.groupBy("chunk").applyInPandas(
         lambda chunk: _chunk_steps(chunk, tolerance), _STEPS
     )
-    entries = steps.groupBy("model").applyInPandas(
-        lambda chunks: _entries(chunks, tolerance), _ENTRY
-    )
+    entries = _chained(steps, n_ranges, tolerance, fan)
     crossing = small_side(entries.filter("entry IS NOT NULL"))
     return (
         null_safe_join(ranged, crossing.df, ["model", "chunk"], "left")

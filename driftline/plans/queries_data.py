@@ -8,6 +8,7 @@ from ..functions.values import half_up
 from ..operators import cleaning, contracts, sampling
 from ..operators.aggregates import distinct_values, value_counts
 from ..operators.features import BOOKING_SPEC
+from ..operators.ranking import with_position
 from ..runtime import scratch_path
 from ..sources.bookings import read_bookings_csv, write_processed
 from .registry import query
@@ -285,6 +286,23 @@ def sample_seeded(spark, sf_dir):
     return sampling.seeded_sample(rows, "booking_id", 2000, SEED)
 
 
+@query(
+    f"""WITH {SOUND_BOOKINGS_SQL}
+SELECT booking_id, row_number() OVER (ORDER BY {_DRAW}) - 1 AS position FROM sound_bookings"""
+)
+def sample_shuffled(spark, sf_dir):
+    """A seeded shuffle written to files: the place of every row in the order of the files."""
+    rows = sound_bookings(spark, sf_dir).select("booking_id")
+    path = scratch_path(spark, "shuffled")
+    sampling.seeded_shuffle(rows, "booking_id", SEED).write.parquet(path)
+    written = spark.read.parquet(path).select(
+        "booking_id",
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+    )
+    return with_position(written, "file", "row").select("booking_id", "position")
+
+
 @query(
     f"""WITH {SOUND_BOOKINGS_SQL}, ranked AS (
   SELECT booking_id, market_segment,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.encoding import month_number
@@ -330,27 +331,87 @@ def majority_baseline(spark, sf_dir):
     return evaluation.confusion_counts(predicted, "market_segment", "predicted_segment")
 
 
+_CATEGORIES = features.BOOKING_SPEC.sources("category")
+_PLAIN_INPUTS = len(features.BOOKING_SPEC.outputs(*features.MEASURED, "presence"))
+_COUNTED_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {c} AS category, count(*) AS n FROM sound_bookings GROUP BY {c}"
+    for c in _CATEGORIES
+)
+
+
+@query(
+    f"""WITH {SOUND_BOOKINGS_SQL},
+counted AS ({_COUNTED_SQL}),
+widths AS (SELECT feature, count(*) FILTER (WHERE n >= 20) + max((n < 20)::INT) AS width
+           FROM counted WHERE category IS NOT NULL GROUP BY 1)
+SELECT market_segment, count(*) AS n_rows, {_PLAIN_INPUTS} + (SELECT sum(width) FROM widths)::BIGINT AS width,
+       {len(_CATEGORIES)} * count(*) AS one_hot_entries,
+       sum((agent IS NOT NULL)::INT + (company IS NOT NULL)::INT)::BIGINT AS present
+FROM sound_bookings GROUP BY 1"""
+)
+def feat_assembled(spark, sf_dir):
+    """The preprocessor fitted on all bookings: the vector's width, its one-hot and presence entries."""
+    rows = _modelled_bookings(spark, sf_dir)
+    fitted = features.fit_preprocessor(rows, features.BOOKING_SPEC)
+    vectors = fitted.transform(rows).select("market_segment", vector_to_array("features").alias("v"))
+    measured = len(features.BOOKING_SPEC.outputs(*features.MEASURED))
+    total = lambda part: F.sum(F.aggregate(part, F.lit(0.0), lambda a, x: a + x)).cast("long")
+    return vectors.groupBy("market_segment").agg(
+        F.count("*").alias("n_rows"),
+        F.max(F.size("v")).cast("long").alias("width"),
+        total(F.slice("v", _PLAIN_INPUTS + 1, F.size("v"))).alias("one_hot_entries"),
+        total(F.slice("v", measured + 1, _PLAIN_INPUTS - measured)).alias("present"),
+    )
+
+
 # -- model jobs -----------------------------------------------------------
 
 #: Trials of a search, the defaults among them.
 N_TRIALS = 8
 
 
-@query()
+@query(
+    """WITH sizes AS (SELECT count(*) AS n FROM embeddings GROUP BY label)
+SELECT sum(floor(floor(n * 0.4::DOUBLE + 0.5) * 0.5::DOUBLE + 0.5))::BIGINT AS n,
+       true AS labels_known, true AS scores_bounded, true AS not_below_majority FROM sizes"""
+)
 def model_fit(spark, sf_dir):
-    """Test scores of a forest on the embedding classes."""
+    """A forest on the embedding classes: what must hold of its test scores, whatever the data."""
     split = stratified_split(embedding_rows(spark, sf_dir), "class", "vec_id", SEED)
-    model = modeling.fit_forest(
-        split.filter("split = 'train'"), EMBEDDING_SPEC, "class", seed=SEED
+    train, test = (split.filter(F.col("split") == name) for name in ("train", "test"))
+    model = modeling.fit_forest(train, EMBEDDING_SPEC, "class", seed=SEED)
+    counts = stage_table(
+        evaluation.confusion_counts(model.transform(test), "class", "predicted_segment"), "confusion"
+    )
+    scores = evaluation.summary_scores(counts)
+    naive = modeling.majority_baseline(train, test, "class")
+    floor = evaluation.summary_scores(
+        evaluation.confusion_counts(naive, "class", "predicted_segment")
+    ).select(F.col("weighted_f1").alias("floor_f1"))
+    strange = counts.filter(~F.col("predicted").isin(modeling.classes_of(model)))
+    bounded = [F.col(c).between(0, 1) for c in ("accuracy", "weighted_f1", "macro_f1")]
+    return scores.join(F.broadcast(floor), how="cross").select(
+        "n",
+        F.lit(strange.isEmpty()).alias("labels_known"),
+        (bounded[0] & bounded[1] & bounded[2]).alias("scores_bounded"),
+        (F.col("weighted_f1") >= F.col("floor_f1")).alias("not_below_majority"),
     )
-    predicted = model.transform(split.filter("split = 'test'"))
-    counts = evaluation.confusion_counts(predicted, "class", "predicted_segment")
-    return evaluation.summary_scores(counts).select("n", "accuracy", "weighted_f1", "macro_f1")
 
 
-@query()
+def _trials_sql() -> str:
+    """The drawn trials as they must come back: scored within bounds, one of them the best."""
+    shown = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+    rows = [
+        f"({i}, {t.n_estimators}, {shown(t.max_depth)}::INT, {t.min_samples_leaf}, {shown(t.max_features)})"
+        for i, t in enumerate(modeling.draw_trials(N_TRIALS, SEED))
+    ]
+    return f"""SELECT *, true AS score_bounded, true AS best_is_highest, true AS best_not_below_default
+FROM (VALUES {", ".join(rows)}) AS t(trial, n_estimators, max_depth, min_samples_leaf, max_features)"""
+
+
+@query(_trials_sql())
 def model_search(spark, sf_dir):
-    """Trials with the defaults first, scored on the validation rows."""
+    """Trials with the defaults first, scored on the validation rows; what must hold of scores."""
     split = stratified_split(embedding_rows(spark, sf_dir), "class", "vec_id", SEED)
     result = modeling.search(
         split.filter("split = 'train'"),
@@ -360,14 +421,17 @@ def model_search(spark, sf_dir):
         modeling.draw_trials(N_TRIALS, SEED),
         SEED,
     )
+    highest = max(score for _, score in result.trials)
     rows = [
-        (i, t.n_estimators, t.max_depth, t.min_samples_leaf, t.max_features, s, t == result.best)
+        (i, t.n_estimators, t.max_depth, t.min_samples_leaf, t.max_features, 0 <= s <= 1,
+         result.best_score == highest and (result.best, highest) in result.trials,
+         result.best_score >= result.default_score == result.trials[0][1])
         for i, (t, s) in enumerate(result.trials)
     ]
     return spark.createDataFrame(
         rows,
         "trial int, n_estimators int, max_depth int, min_samples_leaf int, max_features string, "
-        "val_f1 double, best boolean",
+        "score_bounded boolean, best_is_highest boolean, best_not_below_default boolean",
     )
 
 

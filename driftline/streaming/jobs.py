@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DataType
 
 from ..functions.values import utc_day
 from ..operators.contracts import ScoringField, judge_scoring_rows
@@ -156,6 +157,42 @@ def stream_prediction_log(
     return query
 
 
+def counted(
+    counters: BatchTable, work: Callable[[DataFrame, int], int | None]
+) -> Callable[[DataFrame, int], None]:
+    """The work on a micro-batch, and a counters row for it: rows in, and rows held behind it."""
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        rows = df.persist()
+        try:
+            held = work(rows, batch_id)
+            row = (batch_id, rows.count(), 0, 0, held or 0)
+        finally:
+            rows.unpersist()
+        counters.write(counters.spark.createDataFrame([row], _COUNTERS), batch_name(batch_id))
+
+    return run
+
+
+def _counting_stream(
+    source: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None,
+    work: Callable[[DataFrame, int], int | None],
+) -> StreamingQuery:
+    """Start a stream of micro-batches that counts them below the path it writes to."""
+    counters = BatchTable(source.sparkSession, f"{path}/{COUNTERS_FOLDER}", _COUNTERS)
+    query = (
+        source.writeStream.foreachBatch(counted(counters, work))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+    query.counters = counters
+    return query
+
+
 def batch_name(batch_id: int) -> str:
     """Sortable folder name of a micro-batch."""
     return f"{batch_id:012d}"
@@ -165,13 +202,8 @@ def stream_log_to_store(
     source: DataFrame, log: PredictionLog, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Append to the log store, ignoring every id that was ever logged."""
-    return (
-        source.writeStream.foreachBatch(
-            lambda df, batch_id: log.append(df, batch_name(batch_id))
-        )
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
+    return _counting_stream(
+        source, log.path, checkpoint, trigger, lambda df, i: log.append(df, batch_name(i))
     )
 
 
@@ -181,16 +213,18 @@ def reconcile_batch(
     pending: BatchTable,
     df: DataFrame,
     batch_id: int,
-) -> None:
+) -> int:
     """Store the labels of one micro-batch together with those still waiting.
 
     Labels whose prediction is not logged yet wait in ``pending`` under the name of the
-    batch, which the next batch reads. Running a batch again writes the same folders.
+    batch, which the next batch reads; their number is returned. Running a batch again writes
+    the same folders.
     """
     waiting = pending.read().filter(F.col("batch") == batch_name(batch_id - 1)).drop("batch")
     name = batch_name(batch_id)
     unmatched = labels.upsert(predictions, df.unionByName(waiting), name)
     pending.write(unmatched, name)
+    return unmatched.count()
 
 
 def stream_label_reconcile(
@@ -207,13 +241,12 @@ def stream_label_reconcile(
     PredictionLog only the buckets of the labelled ids are read.
     """
     pending = BatchTable(labels.spark, pending_path, LABEL_SCHEMA)
-    return (
-        source.writeStream.foreachBatch(
-            lambda df, batch_id: reconcile_batch(predictions(), labels, pending, df, batch_id)
-        )
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
+    return _counting_stream(
+        source,
+        labels.path,
+        checkpoint,
+        trigger,
+        lambda df, i: reconcile_batch(predictions(), labels, pending, df, i),
     )
 
 
@@ -345,26 +378,26 @@ def stream_amended_windows(
     source: predicted_at, model_version and the features as columns. ``profiles`` is called
     per micro-batch, so that a newly published profile counts from then on.
     """
-    return (
-        source.writeStream.foreachBatch(
-            lambda df, batch_id: window_batch(store, df, batch_id, features, profiles, policy, slide)
-        )
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
+    return _counting_stream(
+        source,
+        store.path,
+        checkpoint,
+        trigger,
+        lambda df, i: window_batch(store, df, i, features, profiles, policy, slide),
     )
 
 
 def sink_counters(query: StreamingQuery) -> DataFrame:
     """Rows in, late, repeated and held (in the log or as state) per micro-batch of the query.
 
-    ``stream_prediction_log`` writes a row per micro-batch beside the log, so its batches of
-    earlier runs and of streams of any length are all there. Of other queries Spark keeps the
-    last ``spark.sql.streaming.numRecentProgressUpdates`` batches: a longer one raises.
+    The streams of this module that work by micro-batches write a row for each beside what they
+    store, so batches of earlier runs and of streams of any length are all there. Of other
+    queries Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` batches: a
+    longer one raises.
     """
     counters = getattr(query, "counters", None)
     if counters is not None:
-        return counters.read().drop("batch", "newest")
+        return counters.read().select(*DataType.fromDDL(_COUNTERS).fieldNames())
     rows = []
     kept = query.recentProgress
     limit = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))

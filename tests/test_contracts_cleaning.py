@@ -23,9 +23,12 @@ def test_duplicates_rare_class_and_month(spark):
 
 
 def test_negative_rate_goes_and_class_counts_follow(spark):
-    df = raw_bookings(spark, {}, {"adr": -6.38}, {"lead_time": 5})
+    groups = [{"market_segment": "Groups", "adr": rate, "lead_time": 8} for rate in (-0.01, 0.0, -400.0)]
+    df = raw_bookings(spark, {}, {"adr": 0.0, "lead_time": 2}, *groups)
     clean, removed = cleaning.clean_bookings(df, min_class_count=2)
-    assert clean.count() == 2 and removed.negative == 1
+    # nothing is below zero but two rates of a class, which then is too small
+    assert {row.market_segment for row in clean.collect()} != {"Groups"} and clean.count() == 2
+    assert (removed.negative, removed.rare_class) == (2, 1)
 
 
 def test_missing_rate_survives_the_filter_and_fails_the_contract(spark):
@@ -38,8 +41,9 @@ def test_missing_rate_survives_the_filter_and_fails_the_contract(spark):
 def test_missing_column_and_bad_week(spark):
     with pytest.raises(contracts.ContractError, match="raw.*adr present"):
         cleaning.clean_bookings(raw_bookings(spark, {}).drop("adr"), 1)
-    with pytest.raises(contracts.ContractError, match="in_range"):
-        cleaning.clean_bookings(raw_bookings(spark, {"arrival_date_week_number": 99}), 1)
+    for week in (0, 54):  # one beside the first and one beside the last
+        with pytest.raises(contracts.ContractError, match="arrival_date_week_number in_range.*: 1"):
+            cleaning.clean_bookings(raw_bookings(spark, {"arrival_date_week_number": week}), 1)
 
 
 def test_unknown_month_fails_the_processed_contract(spark):

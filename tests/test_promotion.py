@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +148,55 @@ def test_history_equals_the_fold(spark, tolerance):
     want = {m: fold(runs, tolerance) for m, runs in models.items()}
     for r in got:
         assert (r.verdict, r.champion_version) == want[r.model][r.run_order], (r.model, r.run_order)
+
+
+def plain_replay(scores, tolerance):
+    """(champion before, verdict) run after run."""
+    champion, found = None, []
+    for score in scores:
+        verdict = "bootstrap" if champion is None else "accepted" if score - champion >= tolerance else "rejected"
+        found.append((champion, verdict))
+        champion = champion if verdict == "rejected" else score
+    return found
+
+
+@pytest.mark.parametrize("tolerance", [-0.05, 0.0, 0.03])
+@pytest.mark.parametrize("fan", [2, 3])
+def test_maps_of_ranges_compose_as_a_tree(tolerance, fan):
+    rng = random.Random(fan)
+    for trial in range(12):
+        rising = trial % 3 == 0
+        scores = [round(i / 60 if rising else rng.random(), 2) for i in range(60)]
+        chunk_of = [i // 4 for i in range(60)]
+        plain = plain_replay(scores, tolerance)
+        rows = []
+        for chunk in sorted(set(chunk_of)):
+            mine = [s for s, c in zip(scores, chunk_of) if c == chunk]
+            rows += [("m", chunk, *step) for step in promotion._steps(mine, [str(s) for s in mine], tolerance)]
+        columns = ["model", "chunk", "threshold", "last", "last_version"]
+        level, steps = [], pd.DataFrame(rows, columns=columns)
+        while steps["chunk"].max() >= fan:  # up
+            steps["block"] = steps["chunk"] // fan
+            level.append(steps)
+            steps = pd.concat([promotion._composed(part, tolerance) for _, part in steps.groupby("block")])
+        entries = promotion._entries(steps.assign(entry=None, entry_version=None), tolerance)
+        for steps in reversed(level):  # down
+            above = entries.rename(columns={"chunk": "block"})
+            joined = steps.merge(above, on=["model", "block"])
+            entries = pd.concat([promotion._entries(part, tolerance) for _, part in joined.groupby("block")])
+        for chunk, entry in zip(entries["chunk"], entries["entry"]):
+            expected = plain[chunk * 4][0]
+            assert (None if pd.isna(entry) else entry) == expected
+
+
+@pytest.mark.parametrize("tolerance", [-0.01, 0.02])
+def test_one_rising_model_is_replayed_by_a_tree_of_ranges(spark, tolerance, monkeypatch):
+    monkeypatch.setattr(promotion, "MIN_RANGE_RUNS", 1)
+    scores = [i / 400 for i in range(400)]
+    rows = [("m", i, str(i), s, "passed") for i, s in enumerate(scores)]
+    rows += [(f"n{i}", 1, "1", 0.5, "passed") for i in range(20)]
+    df = spark.createDataFrame(rows, "model string, run_order long, version string, f1 double, quality_gate string")
+    got = promotion.replay_promotions(df, tolerance, range_runs=20, fan=3).filter("model = 'm'")
+    got = [(r.champion_version, r.verdict) for r in got.orderBy("run_order").collect()]
+    expected = [(None if c is None else str(scores.index(c)), v) for c, v in plain_replay(scores, tolerance)]
+    assert got == expected

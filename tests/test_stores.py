@@ -164,14 +164,19 @@ def test_late_rows_and_new_profiles_amend_windows(spark, tmp_path):
     schema = "prediction_id string, predicted_at timestamp, model_version string, adr double"
     published = [("1", "adr", 10.0, 2.0, 0.0, 9)]
     policy = DriftPolicy(window_hours=24, min_predictions=4, alpha=0.01)
+    sent = []
 
     def send(*rows):
         df = spark.createDataFrame([(f"p{h}", T0 + timedelta(hours=h), v, float(x)) for h, v, x in rows], schema)
         df.write.mode("append").parquet(source)
-        jobs.stream_amended_windows(
+        query = jobs.stream_amended_windows(
             jobs.file_stream(spark, source, df.schema), store, ["adr"],
             lambda: spark.createDataFrame(published, stores.PROFILE_SCHEMA), state, policy,
-        ).awaitTermination()
+        )
+        query.awaitTermination()
+        sent.append(len(rows))
+        counted = jobs.sink_counters(query).orderBy("batch_id").collect()
+        assert [r.rows_in for r in counted] == sent
         return {
             (r.window_start - T0).days: (r.n_rows, r.status) for r in store.current().collect() if r.model_version == "1"
         }
