@@ -15,10 +15,19 @@ from .registry import half_up_sql, query
 from .testbed import table
 
 
+def table_stream(spark, sf_dir, name):
+    """A table as a file stream, whether it is one file or a folder of files.
+
+    A stream refuses the plain path of a file and filters the names inside a folder; a pattern
+    of the path stands for either.
+    """
+    schema = table(spark, sf_dir, name).schema
+    return jobs.file_stream(spark, f"{sf_dir}/{name}.parque[t]", schema)
+
+
 def event_stream(spark, sf_dir):
     """The event table as a file stream."""
-    schema = table(spark, sf_dir, "events").schema
-    return jobs.file_stream(spark, sf_dir, schema, pathGlobFilter="events.parquet")
+    return table_stream(spark, sf_dir, "events")
 
 
 def _twice_sent(events):
@@ -104,7 +113,6 @@ def stream_labels(spark, sf_dir):
 
     Documents in German were never scored: their labels stay pending.
     """
-    schema = table(spark, sf_dir, "labels").schema
     corrected = F.when(
         F.col("doc_id") % 4 == 0,
         F.array(
@@ -113,7 +121,7 @@ def stream_labels(spark, sf_dir):
         ),
     ).otherwise(F.array(F.struct(F.col("quality").alias("segment"), F.lit(1).alias("second"))))
     source = (
-        jobs.file_stream(spark, sf_dir, schema, pathGlobFilter="labels.parquet")
+        table_stream(spark, sf_dir, "labels")
         .select("doc_id", F.inline(corrected))
         .select(
             F.col("doc_id").cast("string").alias("prediction_id"),
