@@ -1,8 +1,9 @@
 """Work and memory that must not grow faster than the input."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from driftline.operators import evaluation, features
+from driftline.operators import evaluation, features, modeling
 from driftline.plans import queries_model
 
 
@@ -46,3 +47,20 @@ def test_assembled_rows_are_staged_before_they_are_learned_from(spark, tables, m
     except Learned:
         pass
     assert read and not [name for name in read if tables in name]
+
+
+@pytest.mark.parametrize("name", ["model_backtest", "model_score", "score_log"])
+def test_bookings_are_joined_once_for_fitting_and_scoring(spark, tables, monkeypatch, name):
+    read = []
+
+    class Fitted(Exception):
+        pass
+
+    def fitted(rows, *_, **__):
+        read.extend(rows.inputFiles())
+        raise Fitted
+
+    monkeypatch.setattr(modeling, "fit_forest", fitted)
+    with pytest.raises(Fitted):
+        getattr(queries_model, name)(spark, tables)
+    assert read and not [name for name in read if tables in name]
