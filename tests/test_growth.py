@@ -1,10 +1,13 @@
 """Work and memory that must not grow faster than the input."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from driftline.operators import evaluation, features, modeling
 from driftline.plans import queries_model
+from driftline.sources.stores import PREDICTION_SCHEMA, PredictionLog
 
 
 def test_more_ties_make_more_ranges_of_the_auc(spark, monkeypatch):
@@ -64,3 +67,31 @@ def test_bookings_are_joined_once_for_fitting_and_scoring(spark, tables, monkeyp
     with pytest.raises(Fitted):
         getattr(queries_model, name)(spark, tables)
     assert read and not [name for name in read if tables in name]
+
+
+def test_vectors_are_staged_before_they_are_binned(spark, monkeypatch):
+    read = []
+
+    class Fitted(Exception):
+        pass
+
+    def fitted(rows, *_):
+        read.extend(rows.inputFiles())
+        raise Fitted
+
+    monkeypatch.setattr(modeling, "fit_classifier", fitted)
+    rows = spark.range(60).select((F.col("id") % 2).cast("string").alias("kind"), F.col("id").cast("double").alias("x"))
+    with pytest.raises(Fitted):
+        modeling.fit_forest(rows, features.ModelInputs.of(number=("x",)), "kind")
+    assert read and all("/vectors-" in name for name in read)
+
+
+def test_the_first_batch_of_a_log_is_not_compared_with_it(spark, tmp_path, monkeypatch):
+    log = PredictionLog(spark, str(tmp_path / "log"))
+    row = ("a", datetime(2024, 2, 1), "m", "live", "1", "x", 0.5, 0.5, "{}")
+    rows = spark.createDataFrame([row, row], PREDICTION_SCHEMA)
+    with monkeypatch.context() as patch:
+        patch.setattr(PredictionLog, "live_holding", lambda *_: pytest.fail("compared"))
+        log.append(rows, "1")
+    log.append(rows, "2")
+    assert [r.batch for r in log.read().collect()] == ["1"]
