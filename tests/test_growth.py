@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from driftline.operators import evaluation, features, modeling
 from driftline.plans import queries_model
+from driftline.runtime import Staging, compiled_methods, stage_table
 from driftline.sources.stores import PREDICTION_SCHEMA, PredictionLog
 
 
@@ -95,3 +96,35 @@ def test_the_first_batch_of_a_log_is_not_compared_with_it(spark, tmp_path, monke
         log.append(rows, "1")
     log.append(rows, "2")
     assert [r.batch for r in log.read().collect()] == ["1"]
+
+
+def test_the_first_batch_of_a_log_is_written_once(spark, tmp_path, monkeypatch):
+    log = PredictionLog(spark, str(tmp_path / "log"))
+    row = ("a", datetime(2024, 2, 1), "m", "live", "1", "x", 0.5, 0.5, "{}")
+    with monkeypatch.context() as patch:
+        patch.setattr(Staging, "put", lambda *_: pytest.fail("staged"))
+        log.append(spark.createDataFrame([row, row], PREDICTION_SCHEMA), "1")
+    assert [r.batch for r in log.read().collect()] == ["1"]
+
+
+def test_staged_tables_are_written_by_methods_that_the_jvm_compiles(spark, monkeypatch):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before, seen = spark.conf.get(limit), []
+    writer = type(spark.range(1).write)
+    write = writer.parquet
+
+    def kept(self, *args, **kwargs):
+        seen.append(int(spark.conf.get(limit)))
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(writer, "parquet", kept)
+    assert stage_table(spark.range(3), "rows").count() == 3
+    with Staging(spark) as staging:
+        staging.put(spark.range(3), "rows")
+    assert seen == [8_000] * 2 and spark.conf.get(limit) == before
+    spark.conf.set(limit, "4000")
+    try:
+        with compiled_methods(spark):
+            assert spark.conf.get(limit) == "4000"
+    finally:
+        spark.conf.set(limit, before)
