@@ -202,3 +202,26 @@ def test_overwriting_the_input_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="overwrite"):
         bookings.write_processed(spark.read.parquet(path).filter("id > 0"), path)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_sound_rows_are_accepted_without_a_list_of_reasons(spark):
+    fields = (
+        contracts.ScoringField(contracts.Field("n", "bigint", at_least=0)),
+        contracts.ScoringField(contracts.Field("x", "double", at_least=0, at_most=9)),
+        contracts.ScoringField(contracts.Field("kind", "string", allowed=("a", "b"))),
+        contracts.ScoringField(contracts.Field("free", "double", nullable=True, at_least=0), None, True),
+    )
+    nan = float("nan")
+    rows = [(1, 1.0, "a", None), (-1, 1.0, "a", 1.0), (None, 1.0, "b", 1.0), (2, nan, "b", 1.0), (3, 9.5, "a", 1.0),
+            (4, 9.0, "c", 1.0), (5, None, "a", 1.0), (6, 0.0, None, 1.0), (7, 0.0, "b", -1.0), (8, 0.0, "b", nan)]
+    typed = spark.createDataFrame(rows, "n long, x double, kind string, free double")
+    text = typed.select(*[F.col(c).cast("string").alias(c) for c in typed.columns])
+    for df in (typed, text):
+        accepted, refused = contracts.validate_scoring_rows(df, fields)
+        judged = contracts.judge_scoring_rows(df, fields)
+        sound = judged.filter(F.size("reasons") == 0).drop("reasons").collect()
+        assert accepted.columns == typed.columns
+        assert sorted(map(str, accepted.collect())) == sorted(map(str, sound))
+        assert {1} <= {r.n for r in sound} and len(sound) + refused.count() == len(rows)
+    accepted, _ = contracts.validate_scoring_rows(typed, fields)
+    assert "n: at_least" not in accepted._jdf.queryExecution().optimizedPlan().toString()
