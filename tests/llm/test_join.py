@@ -184,3 +184,23 @@ def test_bands_follow_the_bound(percent):
 def test_bounds_without_bands_are_refused(percent):
     with pytest.raises(ValueError):
         near_dedup.bands_for(percent)
+
+
+def test_bit_filters_are_no_constants_of_tasks(spark, monkeypatch):
+    """They are broadcast: as scalar subqueries the driver copied them into the tasks of every stage."""
+    plans = []
+    put = Stages.put
+
+    def seen(self, df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return put(self, df, name)
+
+    monkeypatch.setattr(Stages, "put", seen)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefghijklmnop", k=60)) for _ in range(12)]
+    rows = [(10 * i + j, text + " tail" * j) for i, text in enumerate(texts) for j in (0, 1)]
+    rows += [(500, texts[0]), (None, texts[0]), (501, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in nj.ngram_join(docs).collect()}
+    assert found == {d: None if d is None else 0 if d == 500 else d - d % 10 if d < 500 else d for d, _ in rows}
+    assert plans and not [p for p in plans if "subquery" in p.lower()]
