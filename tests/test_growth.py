@@ -1,5 +1,7 @@
 """Work and memory that must not grow faster than the input."""
 
+import os
+import time
 from datetime import datetime
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from driftline.operators import evaluation, features, modeling
 from driftline.plans import queries_model
-from driftline.runtime import Staging, compiled_methods, stage_table
+from driftline.runtime import Staging, compiled_methods, dropped_shuffles, stage_table
 from driftline.sources.stores import PREDICTION_SCHEMA, PredictionLog
 
 
@@ -128,3 +130,38 @@ def test_staged_tables_are_written_by_methods_that_the_jvm_compiles(spark, monke
             assert spark.conf.get(limit) == "4000"
     finally:
         spark.conf.set(limit, before)
+
+
+def test_shuffle_files_go_when_a_table_or_a_batch_is_written(spark, tmp_path):
+    context = spark.sparkContext._jsc.sc()
+    jvm = spark.sparkContext._jvm
+    folders = [str(f) for f in context.env().blockManager().diskBlockManager().localDirs()]
+    there = lambda: {
+        f for top in folders for d, _, names in os.walk(top) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+    jvm.System.gc()
+    time.sleep(2)
+    before = there()
+    rows = spark.range(2_000).repartition(3, "id").groupBy((F.col("id") % 9).alias("k")).count()
+    stage_table(rows, "rows")
+    with Staging(spark) as staging:
+        assert staging.put(rows, "rows").count() == 9
+    log = PredictionLog(spark, str(tmp_path / "log"))
+    log.append(spark.createDataFrame([("a", datetime(2024, 2, 1), "m", "live", "1", "x", 0.5, 0.5, "{}")] * 2, PREDICTION_SCHEMA), "1")
+    for _ in range(20):
+        if not there() - before:
+            break
+        time.sleep(0.5)
+    # counting leaves files of its own, a few rows of one stage
+    assert len(there() - before) <= 1
+
+
+def test_the_setting_comes_back_after_the_last_of_several_blocks(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    one, two = dropped_shuffles(spark), dropped_shuffles(spark)
+    one.__enter__()
+    two.__enter__()
+    one.__exit__(None, None, None)
+    assert spark.conf.get(name) == "true"
+    two.__exit__(None, None, None)
+    assert spark.conf.get(name) == before
